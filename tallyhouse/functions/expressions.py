@@ -69,15 +69,17 @@ def to_money(value) -> Column:
 
 
 def safe_ratio(numerator, denominator) -> Column:
-    """Ratio as double; null when the denominator is zero or null."""
-    bottom = as_column(denominator).cast("double")
-    return as_column(numerator).cast("double") / F.nullif(bottom, F.lit(0.0))
+    """Exact decimal ratio with 16 digits; null when the denominator is zero or null.
+
+    The 22-digit operands leave room for 20 digits before the point.
+    """
+    wide = "decimal(22,2)"
+    return F.try_divide(as_column(numerator).cast(wide), as_column(denominator).cast(wide))
 
 
 def pct(numerator, denominator, digits: int = 2) -> Column:
     """``100 * numerator / denominator`` rounded half up; null for a zero denominator."""
-    bottom = as_column(denominator).cast("double")
-    return F.round(as_column(numerator).cast("double") * 100 / F.nullif(bottom, F.lit(0.0)), digits)
+    return F.round(safe_ratio(as_column(numerator) * 100, denominator), digits)
 
 
 def growth(current, prior, digits: int = 4) -> Column:
