@@ -17,6 +17,7 @@ from tallyhouse.schemas import (
     GEOGRAPHY_SCHEMA,
     MONEY,
 )
+from tallyhouse.session import literal_rows
 
 
 def _latest(columns: Sequence[str]):
@@ -100,11 +101,11 @@ def build_dim_geography(spark: SparkSession, with_unknown: bool = True) -> DataF
             for sk, city, area, lat, lon in rules.GEOGRAPHY_SEED]
     if with_unknown:
         rows.append((rules.UNKNOWN_GEOGRAPHY_SK, "Unknown", None, "Unknown", "--", "Unknown", "Unknown", None, None))
-    return spark.createDataFrame(rows, GEOGRAPHY_SCHEMA)
+    return literal_rows(spark, rows, GEOGRAPHY_SCHEMA)
 
 
 def build_dim_channel(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(sk, name, kind, None) for sk, name, kind in rules.CHANNEL_SEED], CHANNEL_SCHEMA)
+    return literal_rows(spark, [(sk, name, kind, None) for sk, name, kind in rules.CHANNEL_SEED], CHANNEL_SCHEMA)
 
 
 def assign_surrogate_keys(incoming: DataFrame, natural_key: str, surrogate_key: str, existing: DataFrame | None = None) -> DataFrame:

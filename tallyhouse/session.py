@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings a cluster job should run with.  Shuffle partitions start high and
 # AQE coalesces them, so the same value serves small and large inputs.
@@ -53,3 +56,14 @@ def materialize(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder: computed once, survives executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:
+    """A few known rows as literals, without a Python worker."""
+    fields = T.StructType.fromDDL(schema).fields
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    structs = [
+        F.struct(*[F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(row, fields)]) for row in rows
+    ]
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tallyhouse.functions import rules
 from tallyhouse.functions.expressions import as_column
 from tallyhouse.schemas import GEOGRAPHY_SCHEMA, MONEY, SOURCE_COLUMNS
+from tallyhouse.session import literal_rows
 
 SIGNUP_BASE = date(1994, 1, 1)
 
@@ -147,7 +148,8 @@ def sample_geography(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("n_nationkey") * 3 - 36).cast("decimal(9,6)").alias("latitude"),
         (F.col("n_nationkey") * 5 - 60).cast("decimal(9,6)").alias("longitude"),
     )
-    unknown = spark.createDataFrame(
+    unknown = literal_rows(
+        spark,
         [(rules.UNKNOWN_GEOGRAPHY_SK, "Unknown", None, "Unknown", "--", "Unknown", "Unknown", None, None)],
         GEOGRAPHY_SCHEMA,
     )

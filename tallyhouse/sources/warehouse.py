@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.schemas import CONTROL_SCHEMA
+from tallyhouse.session import literal_rows
 
 VERSION_SCHEMA = "seq long, table_name string, version long"
 
@@ -36,10 +37,10 @@ class Warehouse:
         try:
             return self.spark.read.schema(schema).parquet(self.path("control", name))
         except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+            return literal_rows(self.spark, [], schema)
 
     def _append(self, name: str, rows: Sequence[tuple], schema: str) -> None:
-        self.spark.createDataFrame(list(rows), schema).coalesce(1).write.mode("append").parquet(self.path("control", name))
+        literal_rows(self.spark, rows, schema).write.mode("append").parquet(self.path("control", name))
 
     def current_version(self, table: str) -> int:
         log = self._log("versions", VERSION_SCHEMA).filter(F.col("table_name") == table)
