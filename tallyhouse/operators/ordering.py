@@ -152,15 +152,13 @@ def ntile_column(df: DataFrame, value: str, tie: str, tiles: int, descending: bo
         (F.col("_rn") < F.col("_n"))
         & (ntile_of(F.col("_rn"), F.col("_n"), tiles) < ntile_of(F.col("_rn") + 1, F.col("_n"), tiles))
     )
-    # At most tiles - 1 rows.
-    cuts = ends.agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.col(value).alias("v"), F.col(tie).alias("t")))).alias("cuts")
-    ).scalar()
+    cuts = ends.select("_rn", value, tie).collect()  # at most tiles - 1 rows
+    kinds = dict(df.select(value, tie).dtypes)
     tile = F.lit(1)
-    for i in range(tiles - 1):
-        cut = F.get(cuts, F.lit(i))
-        beyond = F.col(value) < cut["v"] if descending else F.col(value) > cut["v"]
-        tile = tile + F.when(beyond | ((F.col(value) == cut["v"]) & (F.col(tie) > cut["t"])), 1).otherwise(0)
+    for cut in sorted(cuts):
+        cut_value, cut_tie = F.lit(cut[value]).cast(kinds[value]), F.lit(cut[tie]).cast(kinds[tie])
+        beyond = F.col(value) < cut_value if descending else F.col(value) > cut_value
+        tile = tile + F.when(beyond | ((F.col(value) == cut_value) & (F.col(tie) > cut_tie)), 1).otherwise(0)
     return tile
 
 

@@ -99,7 +99,10 @@ def categorical_profile(df: DataFrame, columns: Sequence[str] = ("category", "ci
         F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns])).alias("cell")
     ).select("cell.column_name", "cell.value")
     counts = cells.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("row_count"))
-    rows = df.agg(F.count(F.lit(1)).alias("n")).scalar()
+    # Every row gives each column one cell, so one column's counts add up to all
+    # rows; taken from the counts, whose shuffle is shared, not from a second scan.
+    first = F.when(F.col("column_name") == columns[0], F.col("row_count"))
+    rows = counts.agg(F.sum(first).alias("n")).scalar()
     return counts.filter(F.col("value").isNotNull()).withColumn("share_pct", X.pct("row_count", rows, 1))
 
 
@@ -114,18 +117,26 @@ def email_profile(df: DataFrame) -> DataFrame:
 def quality_score(df: DataFrame, formats=rules.DATE_FORMATS) -> DataFrame:
     """Issues, score (half a point each off 100, not below 0) and grade, as one row.
 
-    Everything but the duplicates comes from one scan; each part is one row.
+    One scan: the rows are shuffled to distinct rows once, and each of those
+    counts as often as it was delivered.
     """
-    copies = duplicate_profile(df).select((F.col("full_row_duplicates") + F.col("order_item_id_duplicates")).alias("issues"))
-    nulls = _null_counts(df).agg(F.count_if(F.col("null_count") > 0).alias("issues"))
-    values = df.agg(
-        (
-            F.count_if(X.parse_date("order_date", formats).isNull())
-            + F.count_if(X.parse_date("signup_date", formats).isNull())
-            + F.count_if(X.email_valid(F.trim("email")) == 0)
-        ).alias("issues")
+
+    def times(condition):
+        return F.sum(F.when(condition, F.col("_copies")).otherwise(0))
+
+    rows = F.sum("_copies")
+    null_columns = F.lit(0)
+    for c in df.columns:
+        null_columns = null_columns + F.max(F.col(c).isNull().cast("int"))
+    issues = (
+        (rows - F.count(F.lit(1)))
+        + (rows - F.count_distinct(F.struct("order_item_id")))
+        + times(X.parse_date("order_date", formats).isNull())
+        + times(X.parse_date("signup_date", formats).isNull())
+        + times(X.email_valid(F.trim("email")) == 0)
+        + null_columns
     )
-    total = copies.unionByName(nulls).unionByName(values).agg(F.sum("issues").alias("total_issues"))
+    total = _copies(df).agg(F.coalesce(issues, F.lit(0)).alias("total_issues"))
     return total.withColumn("score", F.greatest(F.lit(0.0), 100 - F.col("total_issues") * 0.5)).withColumn(
         "grade", X.quality_grade("score")
     )

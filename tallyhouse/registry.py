@@ -607,7 +607,7 @@ def _fk_integrity(spark, folder):
     """Facts of all lines against a calendar that ends at the split."""
     star = sample_star(spark, folder)
     short = Star(**{**star.__dict__, "dates": build_dim_date(spark, CALENDAR[0], SPLIT)})
-    return constraints.fk_integrity(short.items, short.orders, short)
+    return constraints.fk_integrity(short)
 
 
 @query("unique_keys")
