@@ -53,20 +53,22 @@ def duplicate_profile(df: DataFrame) -> DataFrame:
 
 
 def numeric_profile(df: DataFrame, columns: Sequence[str] = NUMERIC) -> DataFrame:
-    """Minimum, maximum, mean, negatives, zeros and unreadable values per column."""
-    numbers = df.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).try_cast("decimal(20,4)").alias("v")) for c in columns])
-        ).alias("cell")
-    ).select("cell.column_name", "cell.v")
-    return numbers.groupBy("column_name").agg(
-        F.min("v").alias("min_value"),
-        F.max("v").alias("max_value"),
-        F.round(F.avg("v"), 2).alias("mean_value"),
-        F.count_if(F.col("v") < 0).alias("negatives"),
-        F.count_if(F.col("v") == 0).alias("zeros"),
-        F.count_if(F.col("v").isNull()).alias("nulls"),
-    )
+    """Minimum, maximum, mean, negatives, zeros and unreadable values per column, in one pass."""
+    profiles = []
+    for c in columns:
+        v = F.col(c).try_cast("decimal(20,4)")
+        profiles.append(
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.min(v).alias("min_value"),
+                F.max(v).alias("max_value"),
+                F.round(F.avg(v), 2).alias("mean_value"),
+                F.count_if(v < 0).alias("negatives"),
+                F.count_if(v == 0).alias("zeros"),
+                F.count_if(v.isNull()).alias("nulls"),
+            )
+        )
+    return df.agg(F.array(*profiles).alias("profiles")).select(F.inline("profiles"))
 
 
 def _dates(df: DataFrame, formats) -> DataFrame:

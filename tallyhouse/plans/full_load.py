@@ -161,6 +161,7 @@ def run_pipeline(
     cleaned = clean_orders(source, load_id, source_name, load_time)
     if dry_run:
         return cleaned
+    wh.refresh()
     try:
         on_step("processed")
         path = save_processed(cleaned, f"{wh.root}/processed", load_time.strftime("%Y%m%d_%H%M%S"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,6 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -47,15 +47,21 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="tallyhouse-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: computed once, survives executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a frame to a table in the shared folder and read it from there.
+
+    Computed once and cut from its lineage, yet safe when executors are lost.
+    Parquet lets each reader take only its columns and gives the planner real
+    sizes.  Tables lie under the application's id, for removal after the job.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4()}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFrame:

@@ -22,11 +22,21 @@ VERSION_SCHEMA = "seq long, table_name string, version long"
 
 
 class Warehouse:
-    """Layers raw, staging and dw under one root folder."""
+    """Layers raw, staging and dw under one root folder.
+
+    An open warehouse keeps reading the table versions it first saw, so all its
+    frames belong together; ``refresh`` moves it to the newest ones.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._versions: dict[str, int] | None = None
+        self._seq = 0
+
+    def refresh(self) -> "Warehouse":
+        self._versions = None
+        return self
 
     # --- paths and logs ---
 
@@ -43,8 +53,13 @@ class Warehouse:
         literal_rows(self.spark, rows, schema).write.mode("append").parquet(self.path("control", name))
 
     def current_version(self, table: str) -> int:
-        log = self._log("versions", VERSION_SCHEMA).filter(F.col("table_name") == table)
-        return log.agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+        """Published version, 0 when there is none.  The log holds a row per table and load."""
+        if self._versions is None:
+            log = self._log("versions", VERSION_SCHEMA)
+            newest = log.groupBy("table_name").agg(F.max("version").alias("v"), F.max("seq").alias("s")).collect()
+            self._versions = {r["table_name"]: r["v"] for r in newest}
+            self._seq = max((r["s"] for r in newest), default=0)
+        return self._versions.get(table, 0)
 
     def _version_path(self, table: str, version: int) -> str:
         return f"{self.path('dw', table)}/v{version:06d}"
@@ -79,8 +94,10 @@ class Warehouse:
 
     def publish(self, versions: Mapping[str, int]) -> None:
         """Make the versions current, all at once."""
-        seq = self._log("versions", VERSION_SCHEMA).agg(F.coalesce(F.max("seq"), F.lit(0))).first()[0] + 1
-        self._append("versions", [(seq, table, version) for table, version in versions.items()], VERSION_SCHEMA)
+        self.current_version("")  # the log is read once
+        self._seq += 1
+        self._append("versions", [(self._seq, table, version) for table, version in versions.items()], VERSION_SCHEMA)
+        self._versions.update(versions)
 
     def replace(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         self.publish({table: self.write_version(table, df, partition_by)})

@@ -157,7 +157,8 @@ def test_streaming_files(spark, source, tmp_path):
     assert spark.read.parquet(wh.path("raw", "ecommerce_orders")).count() == 36
     once = Warehouse(spark, str(tmp_path / "once"))
     incremental.run_incremental(once, source(*EARLY, *LATE))
-    assert content(wh, "fact_order_summary") == content(once, "fact_order_summary")
+    for table in ("fact_order_items", "fact_order_summary", "fact_monthly_product_performance", "dim_customer", "dim_product"):
+        assert content(wh, table) == content(once, table), table
 
 
 def test_facts_prune_partitions(wh, source):
