@@ -112,7 +112,7 @@ def write_derived(wh: Warehouse, items: DataFrame) -> dict[str, int]:
 def load_facts(wh: Warehouse, lines: DataFrame, settings: Settings) -> None:
     """Truncate and reload of the three facts, published together."""
     version = wh.write_version("fact_order_items", build_items(wh, lines, settings), LAYOUT)
-    items = wh.spark.read.parquet(wh._version_path("fact_order_items", version))
+    items = wh.spark.read.parquet(wh.version_path("fact_order_items", version))
     wh.publish({"fact_order_items": version, **write_derived(wh, items)})
 
 
@@ -225,6 +225,6 @@ def run_from_staging(wh: Warehouse, settings: Settings = Settings(), now=None) -
     )
     good, _ = split_violations(items, fact_rules(settings.date_key_range))
     version = wh.write_version("fact_order_items", facts.with_layout_columns(good), LAYOUT)
-    stored = wh.spark.read.parquet(wh._version_path("fact_order_items", version))
+    stored = wh.spark.read.parquet(wh.version_path("fact_order_items", version))
     wh.publish({"fact_order_items": version, **write_derived(wh, stored)})
     refresh_customers(wh, settings, now)

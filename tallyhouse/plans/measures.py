@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import expressions as X
 from tallyhouse.plans.customers import customer_activity, order_counts, rfm_inputs
-from tallyhouse.plans.places import _named_items
+from tallyhouse.plans.places import named_items
 from tallyhouse.plans.star import Star, line_mean
 
 MONTH_NAMES = (
@@ -67,7 +67,7 @@ def seasonality_matrix(star: Star) -> DataFrame:
 
 
 def category_revenue(star: Star) -> DataFrame:
-    return _named_items(star).groupBy("category").agg(F.sum("net_revenue").alias("net_revenue"))
+    return named_items(star).groupBy("category").agg(F.sum("net_revenue").alias("net_revenue"))
 
 
 def best_category(star: Star) -> DataFrame:
@@ -175,7 +175,7 @@ def city_segment_matrix(star: Star) -> DataFrame:
 def category_mix_by_city(star: Star) -> DataFrame:
     """Category share of a city's revenue; the window sees one row per category."""
     grouped = (
-        _named_items(star)
+        named_items(star)
         .groupBy("geography_sk", "category")
         .agg(F.sum("net_revenue").alias("net_revenue"))
         .join(star.geography.select("geography_sk", "city_name"), "geography_sk")

@@ -32,14 +32,14 @@ def city_year_share(star: Star) -> DataFrame:
     ).orderBy("year_number", F.desc("net_revenue"), "city_name")
 
 
-def _named_items(star: Star) -> DataFrame:
+def named_items(star: Star) -> DataFrame:
     """Lines with their category."""
     return star.items.join(star.products.select("product_sk", "category"), "product_sk")
 
 
 def city_category(star: Star) -> DataFrame:
     return (
-        _named_items(star)
+        named_items(star)
         .join(star.geography.select("geography_sk", "city_name"), "geography_sk")
         .groupBy("city_name", "category")
         .agg(
@@ -72,7 +72,7 @@ def channel_share(star: Star) -> DataFrame:
 
 def channel_category(star: Star) -> DataFrame:
     return (
-        _named_items(star)
+        named_items(star)
         .join(star.channels.select("channel_sk", "channel_name"), "channel_sk")
         .groupBy("channel_name", "category")
         .agg(

@@ -61,7 +61,7 @@ class Warehouse:
             self._seq = max((r["s"] for r in newest), default=0)
         return self._versions.get(table, 0)
 
-    def _version_path(self, table: str, version: int) -> str:
+    def version_path(self, table: str, version: int) -> str:
         return f"{self.path('dw', table)}/v{version:06d}"
 
     # --- tables ---
@@ -73,7 +73,7 @@ class Warehouse:
         version = self.current_version(table)
         if version == 0:
             raise ValueError(f"table {table} has not been published")
-        return self._version_path(table, version)
+        return self.version_path(table, version)
 
     def read(self, table: str) -> DataFrame:
         return self.spark.read.parquet(self.table_path(table))
@@ -89,7 +89,7 @@ class Warehouse:
             writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
         else:
             writer = df.write
-        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self._version_path(table, version))
+        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.version_path(table, version))
         return version
 
     def publish(self, versions: Mapping[str, int]) -> None:
