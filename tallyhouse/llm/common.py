@@ -147,3 +147,9 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
             forget(old)
         left, labels = next_left, next_labels
     return labels
+
+
+def aside(df: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """The frame with columns of these names under others, and how to name them back."""
+    back = {f"_their_{c}": c for c in names if c in df.columns}
+    return df.withColumnsRenamed({old: new for new, old in back.items()}), back

@@ -7,7 +7,8 @@ join that finds a page's boilerplate lines is a plain equi-join, which AQE split
 
 Defined results: a null host is a host of its own; a null text stays null and counts as a page without lines; blank
 lines are never counted or dropped; lines are cut at ``\\n`` alone and compared exactly; repeated rows are pages each;
-other columns are kept.  The columns ``n_lines`` and ``n_dropped`` are added by ``drop_boilerplate_lines``.
+other columns are kept.  ``drop_boilerplate_lines`` adds the columns ``n_lines`` and
+``n_dropped``, unless the pages have columns of these names, which then stay as they are.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.common import aside
+
 RATIO = 0.1
 MIN_PAGES = 4
 
@@ -49,11 +52,12 @@ def drop_boilerplate_lines(
 
     What is flagged belongs to (host, line), so pages that share a key may share the list of flagged lines.
     """
+    named, back = aside(pages, ("_key", "_host", "_drop", "_bad", "_bad_host", "_line", "_code", "n_lines", "n_dropped"))
     bad = boilerplate_lines(pages, host, text, ratio, min_pages).select(
         F.col("_host").alias("_bad_host"), F.col("_code").alias("_bad")
     )
     seen = (
-        pages.select(
+        named.select(
             F.col(key).alias("_key"),
             F.col(host).alias("_host"),
             F.explode(F.array_distinct(_lines(F.col(text)))).alias("_line"),
@@ -66,13 +70,15 @@ def drop_boilerplate_lines(
         .groupBy("_key", "_host")
         .agg(F.collect_set("_code").alias("_drop"))  # distinct lines of one page
     )
-    joined = pages.join(flagged, F.col(key).eqNullSafe(F.col("_key")) & F.col(host).eqNullSafe(F.col("_host")), "left")
+    joined = named.join(flagged, F.col(key).eqNullSafe(F.col("_key")) & F.col(host).eqNullSafe(F.col("_host")), "left")
     lines = _lines(F.col(text))
     kept = F.filter(lines, lambda line: ~F.array_contains(F.col("_drop"), _code(line)) | (F.trim(line) == ""))
     n_lines = F.coalesce(F.size(lines), F.lit(0))
     left = F.when(F.col("_drop").isNull(), lines).otherwise(kept)
-    return joined.select(
-        *[F.array_join(left, "\n").alias(c) if c == text else F.col(c) for c in pages.columns],
+    out = joined.select(
+        *[F.array_join(left, "\n").alias(c) if c == text else F.col(c) for c in named.columns],
         F.when(F.col(text).isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"),
         F.when(F.col("_drop").isNull(), 0).otherwise(n_lines - F.size(left)).cast("long").alias("n_dropped"),
     )
+    clash = [c for c in ("n_lines", "n_dropped") if c in pages.columns]
+    return out.drop(*clash).withColumnsRenamed(back)

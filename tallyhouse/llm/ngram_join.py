@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import components, forget, slices, stored, with_unique_id
+from tallyhouse.llm.common import aside, components, forget, slices, stored, with_unique_id
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -196,7 +196,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
             sets = pa.array([shingler(t).tobytes() for t in batch.column("text").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(c) for c in ("node", "root", "blocks", "block")] + [sets], ["node", "root", "blocks", "block", "shingles"])
 
-    texts = docs.select("_doc", "text").join(dealt, F.col("_doc") == F.col("node")).drop("_doc")
+    # Texts are dealt by id whatever the size of the other side, so that the plan is the same at every size.
+    texts = docs.select("_doc", "text").join(dealt.hint("merge"), F.col("_doc") == F.col("node")).drop("_doc")
     sets = stored(texts.select("node", "root", "blocks", "block", "text").mapInArrow(shingle, "node long, root long, blocks int, block int, shingles binary"))
     pairs = sets.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")).select(
         "root", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "node", "block", "shingles"
@@ -224,8 +225,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents without those that belong to the class of an earlier one; columns as they came."""
-    plain = docs.withColumnsRenamed({"_doc": "_their_doc"} if "_doc" in docs.columns else {})
+    plain, back = aside(docs, ("_doc",))
     named = with_unique_id(plain)
     gone = near_duplicates(named, threshold).filter(~F.col("stays")).select("_doc")
     kept = named.join(gone, "_doc", "left_anti").drop("_doc")
-    return kept.withColumnsRenamed({"_their_doc": "_doc"} if "_doc" in docs.columns else {})
+    return kept.withColumnsRenamed(back)

@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyhouse.llm.common import WordHash, fold, labelled_sample, sigmoid, slices
+from tallyhouse.llm.common import WordHash, aside, fold, labelled_sample, sigmoid, slices
 
 SAMPLE = 6_000
 BUCKETS = 1 << 14
@@ -166,8 +167,6 @@ def score_quality(docs: DataFrame, machine: Machine, threshold: float = THRESHOL
             names = [*batch.schema.names, "score", "predicted"]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score, pa.float64()), pa.array((score >= threshold).astype(np.int32))], names)
 
-    from pyspark.sql import types as T
-
     schema = T.StructType([f for f in kinds.fields] + [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     return docs.mapInArrow(run, schema)
 
@@ -175,6 +174,6 @@ def score_quality(docs: DataFrame, machine: Machine, threshold: float = THRESHOL
 def quality_filter(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, sample: int = SAMPLE) -> DataFrame:
     """The documents that the classifier accepts, columns as they came; learns from every fold but the first of five."""
     machine = train(docs, labels, learnable if learnable is not None else fold(F.col("doc_id"), 5) != 0, sample)
-    plain = docs.withColumnsRenamed({c: f"_{c}" for c in ("score", "predicted") if c in docs.columns})
+    plain, back = aside(docs, ("score", "predicted"))
     kept = score_quality(plain, machine).filter(F.col("predicted") == 1).drop("score", "predicted")
-    return kept.withColumnsRenamed({f"_{c}": c for c in ("score", "predicted") if c in docs.columns})
+    return kept.withColumnsRenamed(back)

@@ -5,7 +5,7 @@ offset h; below half the length the pairs are inside a task and names are 64-bit
 (rank, next rank, position) and a scan reranks: positions with a unique rank drop out, those that repeat an earlier
 position past the threshold are decided, the rest goes to the next round.
 
-Round one is sparse.  Every string of ``length`` bytes has one anchor, its least 32-byte name (the leftmost of equals).
+Round one is sparse.  Every string of ``length`` bytes has one anchor, its least 48-byte name (the leftmost of equals).
 Both depend on the string alone, so equal strings have equal anchors at equal places.  Neighbouring strings share their
 anchor; such a run of starts is one row (rank: name of the anchor, next rank: name of all bytes of the run).  Anchors
 seen once are unique.  Equal runs after the first one repeat it in full.  What is left are runs whose anchor occurs in
@@ -32,11 +32,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import forget, slices, stored, with_unique_id
+from tallyhouse.llm.common import aside, forget, slices, stored, with_unique_id
 from tallyhouse.session import literal_rows
 
 LENGTH = 100
-ANCHOR = 32
+ANCHOR = 48  # longer ones repeat by chance less often, shorter ones are fewer
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # 2^64 divided by the golden ratio
 _LOW = np.uint64(0xFFFFFFFF)
 ROW = "rank long, next long, doc long, start long, n int"
@@ -70,7 +70,7 @@ def _joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def anchor_runs(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """(document index, start, n, rank, next) of the runs of string starts that share an anchor."""
-    anchor = max(1, min(ANCHOR, length // 3))
+    anchor = max(1, min(ANCHOR, length // 2))
     width = length - anchor + 1  # anchors in a string
     total = len(data) - length + 1
     if total <= 0:
@@ -230,9 +230,8 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     forget(anchors)
     runs = undecided.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("runs"))  # bounded by the document
     texts = docs.select("_doc", "text").join(runs, F.col("_doc") == F.col("doc")).select("_doc", "text", "runs")
-    dense = stored(texts.mapInArrow(_dense(length), ROW))
-    repeated, _ = rerank(dense)
-    forget(dense)
+    # Not stored: the range partitioner's sample costs a second naming, which is cheaper than the table.
+    repeated, _ = rerank(texts.mapInArrow(_dense(length), ROW))
     return decided.unionByName(repeated).select("doc", "start", "n")
 
 
@@ -259,7 +258,8 @@ def _with_runs(docs: DataFrame, length: int) -> DataFrame:
     """Documents with ``_doc`` and the list ``_runs`` (null: none)."""
     named = docs if "_doc" in docs.columns else with_unique_id(docs)
     runs = repeated_runs(named, length).groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("_runs"))
-    return named.join(runs, F.col("_doc") == F.col("doc"), "left").drop("doc")
+    runs = runs.withColumnRenamed("doc", "_run_doc")
+    return named.join(runs, F.col("_doc") == F.col("_run_doc"), "left").drop("_run_doc")
 
 
 def repeat_digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -291,13 +291,14 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 if text is not None and runs:
                     text = without(text.encode("utf-8", "surrogatepass"), spans(runs, length)).decode("utf-8", "ignore")
                 texts.append(text)
-            columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in plain.columns]
-            yield pa.RecordBatch.from_arrays(columns, plain.columns)
+            columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns_in]
+            yield pa.RecordBatch.from_arrays(columns, columns_in)
 
-    plain = docs.withColumnsRenamed({c: f"_their{c}" for c in ("_doc", "_runs") if c in docs.columns})
+    plain, back = aside(docs, ("_doc", "_runs", "_run_doc"))
+    columns_in = plain.columns
     found = _with_runs(plain, length).select(*plain.columns, "_runs")
     out = found.mapInArrow(run, plain.schema)
     if "n_chars" in out.columns:
         kind = plain.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))
-    return out.withColumnsRenamed({f"_their{c}": c for c in ("_doc", "_runs") if c in docs.columns})
+    return out.withColumnsRenamed(back)
