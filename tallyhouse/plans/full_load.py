@@ -72,9 +72,12 @@ def load_dimension(wh: Warehouse, table: str, incoming: DataFrame, natural_key:
     return wh.write_version(table, merged)
 
 
-def load_dimensions(wh: Warehouse, lines: DataFrame, settings: Settings, now=None) -> None:
+def load_dimensions(
+    wh: Warehouse, lines: DataFrame, settings: Settings, now=None, product_lines: DataFrame | None = None
+) -> None:
+    """Customers from ``lines``, products from ``product_lines`` where these differ."""
     customers = D.build_dim_customer(lines, now, settings.high_value_from, settings.regular_from)
-    products = D.build_dim_product(lines, now)
+    products = D.build_dim_product(lines if product_lines is None else product_lines, now)
     wh.publish(
         {
             "dim_customer": load_dimension(wh, "dim_customer", customers, "customer_id", "customer_sk", now),

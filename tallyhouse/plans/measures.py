@@ -47,9 +47,12 @@ def revenue_orders_trend(star: Star) -> DataFrame:
     )
 
 
-def yoy_month_matrix(star: Star, years: list[int]) -> DataFrame:
-    """Month names down, the given years across.  Listed values keep it one pass."""
+def yoy_month_matrix(star: Star, years: list[int] | None = None) -> DataFrame:
+    """Month names down, years across: all that have orders, or the given ones."""
     revenue = F.sum("net_revenue")
+    if years is None:
+        found = star.dated_orders().select("year_number").distinct().collect()  # one row per year
+        years = sorted(r["year_number"] for r in found)
     return (
         star.dated_orders()
         .groupBy("month_number", "month_name")

@@ -11,8 +11,10 @@ from tallyhouse.functions import rules
 from tallyhouse.functions.expressions import null_if_token
 from tallyhouse.schemas import AUDIT_COLUMNS, SOURCE_COLUMNS, SOURCE_SCHEMA, STAGING_COLUMNS, STAGING_RENAMES
 
-# The dialect of landing files: comma, newline, double quotes, header, UTF-8.
+# The dialect of landing files: comma, newline, double quotes, header, UTF-8, line breaks inside quotes.  Files without
+# such line breaks may be read with multiLine "false", which lets Spark split them.
 CSV_OPTIONS = {
+    "multiLine": "true",
     "header": "true",
     "sep": ",",
     "quote": '"',
@@ -28,25 +30,27 @@ def extract_csv(
     spark: SparkSession,
     path: str | Sequence[str],
     null_tokens: Sequence[str] = rules.CSV_NULL_TOKENS,
-    column_count: int = len(SOURCE_COLUMNS),
+    multi_line: bool = True,
 ) -> DataFrame:
     """Every column as text, missing-value texts as null.
 
-    The header gives the names (cleaning standardises them), so the file is
-    read by position with a fixed schema and never inferred.
+    The header gives the names (cleaning standardises them); types are never
+    inferred.  Spark compares the header of every file with the first one's and
+    fails by name where they differ, so no file is read by another's positions.
     """
     path = [path] if isinstance(path, str) else list(path)
-    header = spark.read.options(**{**CSV_OPTIONS, "header": "false"}).csv(path).first()
-    names = list(header)[:column_count] if header else list(SOURCE_COLUMNS)
+    dialect = {**CSV_OPTIONS, "multiLine": str(multi_line).lower()}
+    header = spark.read.options(**{**dialect, "header": "false"}).csv(path).first()
+    names = list(header) if header else list(SOURCE_COLUMNS)
     schema = ", ".join(f"`{name}` string" for name in names)
-    rows = spark.read.options(**CSV_OPTIONS, enforceSchema="true").schema(schema).csv(path)
+    rows = spark.read.options(**dialect, enforceSchema="false").schema(schema).csv(path)
     return rows.select(*[null_if_token(F.col(f"`{c}`"), null_tokens).alias(c) for c in names])
 
 
 def extract_fixed(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Source files known to have the standard 14 columns; no header look-up."""
     path = [path] if isinstance(path, str) else list(path)
-    rows = spark.read.options(**CSV_OPTIONS, enforceSchema="true").schema(SOURCE_SCHEMA).csv(path)
+    rows = spark.read.options(**CSV_OPTIONS, enforceSchema="false").schema(SOURCE_SCHEMA).csv(path)
     return rows.select(*[null_if_token(c, rules.CSV_NULL_TOKENS).alias(c) for c in SOURCE_COLUMNS])
 
 
@@ -56,7 +60,7 @@ def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:
 
 def landing_copy(spark: SparkSession, source: str, target: str) -> None:
     """Delimited file to delimited file with every text quoted."""
-    rows = spark.read.options(**CSV_OPTIONS, enforceSchema="true").schema(SOURCE_SCHEMA).csv(source)
+    rows = spark.read.options(**CSV_OPTIONS, enforceSchema="false").schema(SOURCE_SCHEMA).csv(source)
     write_csv(rows, target, quote_all=True)
 
 
