@@ -556,7 +556,7 @@ star_query("vw_customer_360", lambda star: views.vw_customer_360(star, AS_OF))
 
 star_query("exec_kpis", measures.exec_kpis)
 star_query("revenue_orders_trend", measures.revenue_orders_trend)
-star_query("yoy_month_matrix", lambda star: measures.yoy_month_matrix(star, list(range(1995, 2002))))
+star_query("yoy_month_matrix", measures.yoy_month_matrix)
 star_query("seasonality_matrix", measures.seasonality_matrix)
 star_query(
     "slice",

@@ -46,7 +46,9 @@ class Warehouse:
     def _log(self, name: str, schema: str) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(self.path("control", name))
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return literal_rows(self.spark, [], schema)
 
     def _append(self, name: str, rows: Sequence[tuple], schema: str) -> None:
