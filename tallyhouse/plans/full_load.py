@@ -19,7 +19,7 @@ from tallyhouse.operators.constraints import fact_rules, split_violations
 from tallyhouse.operators.upsert import upsert_customers_changed, upsert_products_changed, upsert_type1
 from tallyhouse.plans.star import Star
 from tallyhouse.sources.files import load_raw, load_staging, save_processed, staging_rows, with_audit
-from tallyhouse.sources.warehouse import Warehouse
+from tallyhouse.sources.warehouse import Version, Warehouse
 
 LAYOUT = ("order_year", "order_month")
 PIPELINE = "fact_order_items_load"
@@ -63,7 +63,7 @@ def seed_dimensions(wh: Warehouse, settings: Settings, geography: DataFrame | No
     )
 
 
-def load_dimension(wh: Warehouse, table: str, incoming: DataFrame, natural_key: str, surrogate_key: str, now=None) -> int:
+def load_dimension(wh: Warehouse, table: str, incoming: DataFrame, natural_key: str, surrogate_key: str, now=None) -> Version:
     """Insert all on the first load, type-1 upsert later.  Returns the unpublished version."""
     if wh.exists(table):
         merged = upsert_type1(wh.read(table), incoming, natural_key, surrogate_key, now).drop("action")
@@ -100,7 +100,7 @@ def build_items(wh: Warehouse, lines: DataFrame, settings: Settings) -> DataFram
     return facts.with_layout_columns(good)
 
 
-def write_derived(wh: Warehouse, items: DataFrame) -> dict[str, int]:
+def write_derived(wh: Warehouse, items: DataFrame) -> dict[str, Version]:
     """New versions of the order and the monthly fact from the stored items."""
     summary = facts.with_layout_columns(facts.build_fact_order_summary(items))
     monthly = facts.build_fact_monthly_product(items)
@@ -115,7 +115,7 @@ def write_derived(wh: Warehouse, items: DataFrame) -> dict[str, int]:
 def load_facts(wh: Warehouse, lines: DataFrame, settings: Settings) -> None:
     """Truncate and reload of the three facts, published together."""
     version = wh.write_version("fact_order_items", build_items(wh, lines, settings), LAYOUT)
-    items = wh.spark.read.parquet(wh.version_path("fact_order_items", version))
+    items = wh.read_version("fact_order_items", version)
     wh.publish({"fact_order_items": version, **write_derived(wh, items)})
 
 
@@ -161,11 +161,10 @@ def run_pipeline(
     """
     load_id, started = new_load_id(), utc_now()
     load_time = load_time or started
-    cleaned = clean_orders(source, load_id, source_name, load_time)
     if dry_run:
-        return cleaned
-    wh.refresh()
+        return clean_orders(source, load_id, source_name, load_time, stage=False)
     try:
+        cleaned = clean_orders(source, load_id, source_name, load_time)
         on_step("processed")
         path = save_processed(cleaned, f"{wh.root}/processed", load_time.strftime("%Y%m%d_%H%M%S"))
         stored = wh.spark.read.parquet(path)
@@ -174,30 +173,46 @@ def run_pipeline(
             load_raw(with_audit(source, load_id, source_name, load_time), wh.path("raw", "ecommerce_orders"))
         on_step("staging")
         load_staging(stored, wh.path("staging", "order_items"))
-        on_step("dimensions")
-        seed_dimensions(wh, settings, geography)
-        load_dimensions(wh, stored, settings, load_time)
-        on_step("facts")
-        load_facts(wh, stored, settings)
-        on_step("refresh")
-        refresh_customers(wh, settings, load_time)
-        summary = wh.read("fact_order_items").agg(F.count(F.lit(1)).alias("n"), F.max("order_date_key").alias("k")).first()
-        loaded = datetime.strptime(str(summary["k"]), "%Y%m%d").date() if summary["k"] else None
-        wh.record_run(PIPELINE, loaded, started, "SUCCESS", summary["n"], load_id)
+        with wh.one_publication():
+            on_step("dimensions")
+            seed_dimensions(wh, settings, geography)
+            load_dimensions(wh, stored, settings, load_time)
+            on_step("facts")
+            load_facts(wh, stored, settings)
+            on_step("refresh")
+            refresh_customers(wh, settings, load_time)
+        record_success(wh, started, load_id)
     except Exception:
         wh.record_run(PIPELINE, None, started, "FAILED", None, load_id)
         raise
     return stored
 
 
+def record_success(wh: Warehouse, started: datetime, load_id: str) -> None:
+    """A run row with the rows and the newest date of the item fact."""
+    summary = wh.read("fact_order_items").agg(F.count(F.lit(1)).alias("n"), F.max("order_date_key").alias("k")).first()
+    loaded = datetime.strptime(str(summary["k"]), "%Y%m%d").date() if summary["k"] else None
+    wh.record_run(PIPELINE, loaded, started, "SUCCESS", summary["n"], load_id)
+
+
 def describe_clean(cleaned: DataFrame) -> DataFrame:
     """What a dry run shows: count, mean, spread and extremes per column."""
     return cleaned.summary("count", "mean", "stddev", "min", "max")
 
 
 def run_from_staging(wh: Warehouse, settings: Settings = Settings(), now=None) -> None:
-    """The load that starts at staging: changed-only upserts, facts, refresh, one batch id."""
-    load_id = new_load_id()
+    """The load that starts at staging: changed-only upserts, facts, refresh, one batch id and one run row."""
+    load_id, started = new_load_id(), utc_now()
+    try:
+        with wh.one_publication():
+            load_from_staging(wh, load_id, settings, now)
+        record_success(wh, started, load_id)
+    except Exception:
+        wh.record_run(PIPELINE, None, started, "FAILED", None, load_id)
+        raise
+
+
+def load_from_staging(wh: Warehouse, load_id: str, settings: Settings, now=None) -> None:
     staging = wh.spark.read.parquet(wh.path("staging", "order_items"))
     lines = staging.withColumnsRenamed({"customer_name": "name", "unit_price": "price", "total_amount": "net_revenue"})
     customers, products = D.build_dim_customer(lines, now), D.build_dim_product(lines, now)
@@ -228,6 +243,6 @@ def run_from_staging(wh: Warehouse, settings: Settings = Settings(), now=None) -
     )
     good, _ = split_violations(items, fact_rules(settings.date_key_range))
     version = wh.write_version("fact_order_items", facts.with_layout_columns(good), LAYOUT)
-    stored = wh.spark.read.parquet(wh.version_path("fact_order_items", version))
+    stored = wh.read_version("fact_order_items", version)
     wh.publish({"fact_order_items": version, **write_derived(wh, stored)})
     refresh_customers(wh, settings, now)

@@ -1,24 +1,41 @@
 """Parquet warehouse with published table versions and a run log.
 
-A table is replaced by writing a new version folder and then publishing it in
-the log, so readers never see half a table and no path is overwritten while it
-is read.  Both logs are append-only: one small file per publication or run, and
-a reader takes the newest row.
+A table is replaced by writing a folder of its own and then publishing it in
+the log, so readers never see half a table and no path is overwritten or removed
+while it is read.  A table is a list of folders: a whole version, or single
+partitions of earlier versions beside it, at most one per partition value.  Both
+logs are append-only: one small file per publication or run, and a reader takes
+the newest row.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import date, datetime, timezone
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.schemas import CONTROL_SCHEMA
 from tallyhouse.session import literal_rows
 
-VERSION_SCHEMA = "seq long, table_name string, version long"
+VERSION_SCHEMA = "seq long, publication string, table_name string, version long, folder string, schema string"
+FOLDER = "table_version"
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+class Version(NamedTuple):
+    """A state of a table: its number, its folders below the table's own, its columns."""
+
+    number: int
+    folders: tuple[str, ...]
+    schema: T.StructType
 
 
 class Warehouse:
@@ -31,7 +48,8 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._versions: dict[str, int] | None = None
+        self._versions: dict[str, Version] | None = None
+        self._held: dict[str, Version] | None = None
         self._seq = 0
 
     def refresh(self) -> "Warehouse":
@@ -54,75 +72,119 @@ class Warehouse:
     def _append(self, name: str, rows: Sequence[tuple], schema: str) -> None:
         literal_rows(self.spark, rows, schema).write.mode("append").parquet(self.path("control", name))
 
-    def current_version(self, table: str) -> int:
-        """Published version, 0 when there is none.  The log holds a row per table and load."""
+    def _published(self) -> dict[str, Version]:
+        """Newest publication of every table; its folders are bounded by the calendar."""
         if self._versions is None:
-            log = self._log("versions", VERSION_SCHEMA)
-            newest = log.groupBy("table_name").agg(F.max("version").alias("v"), F.max("seq").alias("s")).collect()
-            self._versions = {r["table_name"]: r["v"] for r in newest}
-            self._seq = max((r["s"] for r in newest), default=0)
-        return self._versions.get(table, 0)
+            each = self._log("versions", VERSION_SCHEMA).groupBy("table_name", "seq", "publication").agg(
+                F.max("version").alias("version"), F.max("schema").alias("schema"), F.collect_set("folder").alias("folders")
+            )
+            newest = each.groupBy("table_name").agg(
+                F.max_by(F.struct("version", "folders", "schema"), F.struct("seq", "publication")).alias("r"), F.max("seq").alias("s")
+            )
+            rows = newest.collect()
+            self._versions = {
+                r["table_name"]: Version(
+                    r["r"]["version"], tuple(sorted(r["r"]["folders"])), T.StructType.fromJson(json.loads(r["r"]["schema"]))
+                )
+                for r in rows
+            }
+            self._seq = max((r["s"] for r in rows), default=0)
+        return self._versions
 
-    def version_path(self, table: str, version: int) -> str:
-        return f"{self.path('dw', table)}/v{version:06d}"
+    def current_version(self, table: str) -> int:
+        """Number of the version in view, 0 when there is none."""
+        return self._published()[table].number if self.exists(table) else 0
 
     # --- tables ---
 
     def exists(self, table: str) -> bool:
-        return self.current_version(table) > 0
+        return table in self._published()
 
-    def table_path(self, table: str) -> str:
-        version = self.current_version(table)
-        if version == 0:
+    def read(self, table: str) -> DataFrame:
+        if not self.exists(table):
             raise ValueError(f"table {table} has not been published")
-        return self.version_path(table, version)
+        return self.read_version(table, self._published()[table])
 
-    def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.table_path(table))
+    def read_version(self, table: str, version: Version) -> DataFrame:
+        return self._with_folder(table, version).drop(FOLDER)
 
-    def write_version(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """Write a new, not yet published version.
+    def _with_folder(self, table: str, version: Version) -> DataFrame:
+        base = self.path("dw", table)
+        reader = self.spark.read.schema(version.schema).option("basePath", base)
+        return reader.parquet(*[f"{base}/{folder}" for folder in version.folders])
+
+    def write_version(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> Version:
+        """Write a new, not yet published version into a folder of its own.
 
         Partitioned tables are rebalanced on their partition columns: AQE makes
         files of the advisory size and splits a folder that holds too much.
         """
-        version = self.current_version(table) + 1
+        number = self.current_version(table) + 1
+        folder = f"{FOLDER}=v{number:06d}-{uuid.uuid4().hex}"
         if partition_by:
             writer = df.hint("rebalance", *partition_by).write.partitionBy(*partition_by)
         else:
             writer = df.write
-        writer.mode("overwrite").option("partitionOverwriteMode", "static").parquet(self.version_path(table, version))
-        return version
-
-    def publish(self, versions: Mapping[str, int]) -> None:
-        """Make the versions current, all at once."""
-        self.current_version("")  # the log is read once
-        self._seq += 1
-        self._append("versions", [(self._seq, table, version) for table, version in versions.items()], VERSION_SCHEMA)
+        writer.parquet(f"{self.path('dw', table)}/{folder}")
+        return Version(number, (folder,), df.schema)
+
+    def publish(self, versions: Mapping[str, Version]) -> None:
+        """Make the versions current, all at once; inside ``one_publication`` at its end."""
+        self._published()
+        if self._held is not None:
+            self._held.update(versions)
+        else:
+            self._seq += 1
+            key = (self._seq, uuid.uuid4().hex)
+            rows = []
+            for table, v in versions.items():
+                rows += [(*key, table, v.number, folder, None) for folder in v.folders]
+                rows.append((*key, table, v.number, None, v.schema.json()))
+            self._append("versions", rows, VERSION_SCHEMA)
         self._versions.update(versions)
 
+    @contextmanager
+    def one_publication(self) -> Iterator[None]:
+        """Start from the newest versions and publish all that is written inside together, or nothing if it fails.
+
+        Reads through this warehouse see what was written; other readers do not until the end.
+        """
+        self.refresh()
+        self._held = {}
+        try:
+            yield
+            held, self._held = self._held, None
+            if held:
+                self.publish(held)
+        except BaseException:
+            self._held = None
+            self.refresh()
+            raise
+
     def replace(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         self.publish({table: self.write_version(table, df, partition_by)})
 
-    def overwrite_partitions(self, table: str, df: DataFrame, partition_by: Sequence[str], old: DataFrame) -> None:
-        """Replace the partitions of ``old`` (rows of the table) by the rows of ``df``.
+    def overwrite_partitions(self, table: str, df: DataFrame, partition_by: Sequence[str], old: DataFrame) -> DataFrame:
+        """Replace the partitions of ``old`` (rows of the table) and those of ``df`` by the rows of ``df``.
 
-        Spark swaps only partitions that ``df`` has rows for.  Should one of the
-        old partitions get none, the table is rewritten as a new version.
+        Only ``df`` is written; the other partitions stay where they are, and the
+        replaced ones too, for readers that hold them.  Returns the rows written.
         """
         keys = list(partition_by)
-        emptied = old.select(*keys).distinct().join(df.select(*keys).distinct(), keys, "left_anti")
-        if not emptied.isEmpty():
-            rest = self.read(table).join(old.select(*keys).distinct(), keys, "left_anti")
-            self.replace(table, rest.unionByName(df), partition_by)
-            return
-        (
-            df.hint("rebalance", *partition_by)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partition_by)
-            .parquet(self.table_path(table))
-        )
+        current = self._published()[table]
+        new = self.write_version(table, df, keys)
+        written = self.read_version(table, new)
+        # Partition values only: bounded by the calendar.
+        replaced = {tuple(r) for r in old.select(*keys).union(written.select(*keys)).distinct().collect()}
+        held = self._with_folder(table, current)
+        values = held.select(FOLDER, *keys).distinct().collect() if FOLDER in held.columns else []
+        kept = []
+        for r in values:
+            if tuple(r[k] for k in keys) not in replaced:
+                parts = [f"{k}={NULL_PARTITION if r[k] is None else r[k]}" for k in keys]
+                kept.append("/".join([f"{FOLDER}={r[FOLDER]}", *parts]))
+        self.publish({table: Version(new.number, (*kept, *new.folders), current.schema)})
+        return written
 
     # --- run log ---
 

@@ -121,6 +121,24 @@ def test_window_that_lost_a_month(wh, source):
     assert wh.read("fact_order_summary").count() == expected
 
 
+def test_open_frames_and_broken_loads(wh, source, monkeypatch):
+    """A frame opened before a load still reads its rows; a load that dies half-way publishes nothing."""
+    incremental.run_incremental(wh, source(*EARLY))
+    tables = ("fact_order_items", "fact_order_summary", "fact_monthly_product_performance")
+    opened, before = {t: wh.read(t) for t in tables}, {t: wh.read(t).count() for t in tables}
+    with monkeypatch.context() as patch:
+        patch.setattr(incremental, "refresh_customers", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            incremental.run_incremental(wh, source(*EARLY, *LATE))
+    again = Warehouse(wh.spark, wh.root)
+    assert {t: again.read(t).count() for t in tables} == before
+    incremental.run_incremental(again, source(*EARLY, *LATE, row(700, "2022-03-18")), from_date=date(2022, 3, 1))
+    assert {t: df.count() for t, df in opened.items()} == before
+    assert again.read("fact_order_items").count() == 37
+    months = {f.split("order_year=")[-1] for f in again._published()["fact_order_items"].folders if "order_year=" in f}
+    assert months == {"2022/order_month=1", "2022/order_month=2"}  # untouched ones stayed where they were
+
+
 def test_full_reload_resets(wh, source):
     incremental.run_incremental(wh, source(*EARLY, *LATE))
     assert incremental.run_incremental(wh, source(*EARLY), full_reload=True) == 24
