@@ -40,6 +40,7 @@ CALIBRATION = 256
 BASE_BLOCK, QUERY_BLOCK = 4_096, 512
 CHUNK = 256
 COLUMNS = 16
+DENSE = 16  # share of surviving pairs, one in so many, from which a column block is computed for all pairs at once
 EPSILON = 2.1
 FOUND = "query_id long, vec_id long, score double"
 
@@ -99,6 +100,11 @@ def _raised(v: np.ndarray, top2: float, query: bool) -> np.ndarray:
     return np.concatenate([v, extra[:, None]], 1)
 
 
+def _squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Squared distances of all rows of two column blocks."""
+    return ((x**2).sum(1)[:, None] + (y**2).sum(1)[None] - 2 * x @ y.T).clip(0)
+
+
 def probes_needed(points: np.ndarray, means: np.ndarray, k: int, recall: float, asked: int = CALIBRATION) -> int:
     """The fewest nearest lists that hold ``recall`` of the k nearest sample points of ``asked`` sample points."""
     own, _ = closest(points, means)
@@ -127,12 +133,15 @@ def scan(base_id, base, base_list, query_id, query, probed, turn: np.ndarray, to
     for at in range(0, len(b), CHUNK):
         part, ids, exact = b[at : at + CHUNK], base_id[at : at + CHUNK], base[at : at + CHUNK]
         d = min(columns, size)
-        near = ((q[:, :d] ** 2).sum(1)[:, None] + (part[:, :d] ** 2).sum(1)[None] - 2 * q[:, :d] @ part[:, :d].T).clip(0)
+        near = _squares(q[:, :d], part[:, :d])
         qi, bi = np.nonzero((near * (size / d) <= bound[:, None] * (1 + epsilon / d**0.5) ** 2 + 1e-12) & (query_id[:, None] != ids[None]) & probed[:, base_list[at : at + CHUNK]])
         partial = near[qi, bi]
         while d < size and len(qi):
             e = min(d + columns, size)
-            partial = partial + ((q[qi, d:e] - part[bi, d:e]) ** 2).sum(1)
+            if len(qi) * DENSE > near.size:  # many pairs are left: one product of the blocks is cheaper than their rows
+                partial = partial + _squares(q[:, d:e], part[:, d:e])[qi, bi]
+            else:
+                partial = partial + ((q[qi, d:e] - part[bi, d:e]) ** 2).sum(1)
             d = e
             slack = (1 + epsilon / d**0.5) ** 2 if d < size else 1 + 1e-9
             stay = partial * (size / d) <= bound[qi] * slack + 1e-12
