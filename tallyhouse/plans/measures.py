@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import expressions as X
 from tallyhouse.plans.customers import customer_activity, order_counts, rfm_inputs
-from tallyhouse.plans.places import named_items
 from tallyhouse.plans.star import Star, line_mean
 
 MONTH_NAMES = (
@@ -70,7 +69,14 @@ def seasonality_matrix(star: Star) -> DataFrame:
 
 
 def category_revenue(star: Star) -> DataFrame:
-    return named_items(star).groupBy("category").agg(F.sum("net_revenue").alias("net_revenue"))
+    """Lines are summed per product before they meet the categories."""
+    return (
+        star.items.groupBy("product_sk")
+        .agg(F.sum("net_revenue").alias("net_revenue"))
+        .join(star.products.select("product_sk", "category"), "product_sk")
+        .groupBy("category")
+        .agg(F.sum("net_revenue").alias("net_revenue"))
+    )
 
 
 def best_category(star: Star) -> DataFrame:
@@ -178,7 +184,9 @@ def city_segment_matrix(star: Star) -> DataFrame:
 def category_mix_by_city(star: Star) -> DataFrame:
     """Category share of a city's revenue; the window sees one row per category."""
     grouped = (
-        named_items(star)
+        star.items.groupBy("geography_sk", "product_sk")
+        .agg(F.sum("net_revenue").alias("net_revenue"))
+        .join(star.products.select("product_sk", "category"), "product_sk")
         .groupBy("geography_sk", "category")
         .agg(F.sum("net_revenue").alias("net_revenue"))
         .join(star.geography.select("geography_sk", "city_name"), "geography_sk")

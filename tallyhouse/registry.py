@@ -21,7 +21,7 @@ from tallyhouse.operators import access, cleaning, constraints, dimensions, fact
 from tallyhouse.operators.calendar import build_dim_date, calendar_between
 from tallyhouse.plans import customers, full_load, incremental, measures, places, products, revenue, views
 from tallyhouse.plans.star import Star, slice_star
-from tallyhouse.session import shared_dir
+from tallyhouse.session import materialize, shared_dir
 from tallyhouse.sources import files
 from tallyhouse.sources.sample_tables import dirty_source, order_lines, read_table, sample_geography
 from tallyhouse.sources.warehouse import Warehouse, current_runs, high_water_marks, upsert_runs
@@ -333,9 +333,9 @@ def _customer_segment(spark, folder):
 
 
 def _before_and_after(spark, folder, build, natural_key, surrogate_key):
-    lines = clean_lines(spark, folder)
+    lines = materialize(clean_lines(spark, folder))
     earlier = lines.filter(F.col("order_date") <= F.lit(SPLIT))
-    later = lines.filter(F.col("order_date") > F.lit(SPLIT))
+    later =lines.filter(F.col("order_date") > F.lit(SPLIT))
     existing = dimensions.assign_surrogate_keys(build(earlier), natural_key, surrogate_key)
     return existing, build(later)
 
@@ -392,14 +392,14 @@ query("refresh_customer_stats")(_refreshed(False))
 
 @query("fact_order_items")
 def _fact_order_items(spark, folder):
-    lines = clean_lines(spark, folder)
+    lines = materialize(clean_lines(spark, folder))
     return facts.build_fact_order_items(lines, *dims(spark, folder, lines)).drop("etl_load_id")
 
 
 @query("fact_order_items_sql")
 def _fact_order_items_sql(spark, folder):
     """From staging rows; discount share and tenure keep their sign."""
-    lines = clean_lines(spark, folder)
+    lines = materialize(clean_lines(spark, folder))
     staging = files.staging_rows(lines.withColumn("dq_date_valid", F.lit(1)))
     return facts.build_fact_from_staging(staging, *dims(spark, folder, lines), load_id=LOAD_ID, clip=False)
 
@@ -407,7 +407,7 @@ def _fact_order_items_sql(spark, folder):
 @query("unmapped_keys")
 def _unmapped_keys(spark, folder):
     """Lines of the whole table against dimensions that end at the split."""
-    lines = clean_lines(spark, folder)
+    lines = materialize(clean_lines(spark, folder))
     earlier = lines.filter(F.col("order_date") <= F.lit(SPLIT))
     return facts.count_unmapped(lines, earlier.select("customer_id").distinct(), earlier.select("product_id").distinct())
 
