@@ -1,16 +1,20 @@
 """Language-model scoring by cross-entropy difference.
 
-Two interpolated bigram models, one of the target texts and one of all texts, share one vocabulary: the ``2^18`` hash
-classes of lower-case words, with ``2^20`` hash classes of word pairs.  For a token w after u
+Two interpolated bigram models, one of the target texts and one of all texts, share one vocabulary of lower-case words.
+For a token w after u
 
-    p(w | u) = (c(u, w) + MASS * p(w)) / (c(u) + MASS),    p(w) = (c(w) + 1) / (N + classes)
+    p(w | u) = (c(u, w) + MASS * p(w)) / (c(u) + MASS),    p(w) = (c(w) + 1) / (N + V)
 
 and a document's score is its mean loss per token under the target less that under the background; lower is more like
-the target.  A text starts after an empty word.
+the target.  A text starts after an empty word.  V is the number of words held possible: one more than the corpus has,
+and ``WORDS`` at least.
 
-Both models are counted over whole texts of all documents.  A task adds up its own counts first and sends one row per
-class it has seen; Spark adds these up.  The models have a fixed number of classes, whatever the corpus, so broadcasting
-them (about 11 MB) is bounded.
+Both models are counted over whole texts of all documents, each word, context and pair by itself under a 64-bit key, in a
+stored table that grows with the corpus.  A task adds up ``CHUNK`` bytes of text at a time and sends one row per n-gram
+seen in them, so a hot n-gram is a row per chunk.
+
+Texts to score are stored in chunks of the same size.  A chunk asks for each of its n-grams once, by a join with the
+table, and gets the answers together with its texts; a task holds the n-grams of one chunk, whatever the corpus.
 
 Target texts are the labelled documents of quality 1 unless another set of ids is given.
 
@@ -21,25 +25,28 @@ uniform; extra columns are ignored.
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import LETTERS, slices
+from tallyhouse.llm.common import LETTERS, slices, stored
 
 WORDS = 1 << 18
-PAIRS = 1 << 20
 MASS = 2.0
+CHUNK = 16 << 20
+START = -1  # before a text's first word
+WORD, CONTEXT, PAIR = range(3)
 SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, difference double"
 
 
 class Codes:
-    """Word classes of a text, remembered for up to ``most`` words."""
+    """64-bit keys of a text's words, remembered for up to ``most`` words."""
 
     def __init__(self, most: int = 400_000):
         self.known, self.most = {}, most
@@ -51,96 +58,147 @@ class Codes:
         words = LETTERS.findall(text.lower())
         for w in set(words):
             if w not in known:
-                known[w] = zlib.crc32(w.encode("utf-8", "surrogatepass")) % WORDS
+                known[w] = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
         return np.fromiter((known[w] for w in words), np.int64, len(words))
 
 
-def pair_classes(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The class before each token (WORDS for the start) and the class of each pair."""
-    before = np.concatenate([[WORDS], codes[:-1]]) if len(codes) else codes
+def pair_classes(codes: np.ndarray, starts: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The key before each token (START at the positions ``starts``) and the 64-bit key of each pair."""
+    before = np.roll(codes, 1)
+    if len(codes):
+        before[starts] = START
     mixed = before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + codes.astype(np.uint64) * np.uint64(0xBF58476D1CE4E5B9)
-    return before, ((mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64) % PAIRS
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return before, (mixed ^ (mixed >> np.uint64(29))).astype(np.int64)
+
+
+def grams(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word, context and pair keys of all tokens of coded texts, in the order of the kinds."""
+    lengths = np.array([len(x) for x in texts], np.int64)
+    words = np.concatenate([*texts, np.empty(0, np.int64)])
+    return words, *pair_classes(words, (np.cumsum(lengths) - lengths)[lengths > 0])
+
+
+def _rows(columns: dict[str, np.ndarray], most: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(next(iter(columns.values()))), most):
+        yield pa.RecordBatch.from_arrays([pa.array(x[at : at + most]) for x in columns.values()], list(columns))
 
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per class seen in the task: words below WORDS + 1, pairs above."""
-    codes = Codes()
-    counts = np.zeros((2, WORDS + 1 + PAIRS + WORDS + 1), np.int64)
+    """One row per n-gram of each ``CHUNK`` bytes of text."""
+    codes, held, size = Codes(), ([], []), 0
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        for kind, (other, target) in enumerate(zip(grams(held[0]), grams(held[1]))):
+            seen, times = np.unique(np.concatenate([other, target]), return_counts=True)
+            used, n = np.unique(target, return_counts=True)
+            within = np.zeros(len(seen), np.int64)
+            within[np.searchsorted(seen, used)] = n
+            yield from _rows({"kind": np.full(len(seen), kind, np.int8), "key": seen, "target": within, "background": times})
+
     for batch in slices(batches, "text"):
         for text, target in zip(batch.column("text").to_pylist(), batch.column("target").to_pylist()):
-            word = codes(text or "")
-            before, pair = pair_classes(word)
-            at = np.concatenate([word, WORDS + 1 + pair, WORDS + 1 + PAIRS + before])
-            used, times = np.unique(at, return_counts=True)
-            counts[1][used] += times
-            if target:
-                counts[0][used] += times
-    seen = np.flatnonzero(counts[1])
-    for at in range(0, len(seen), 1 << 16):
-        part = seen[at : at + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(counts[0][part]), pa.array(counts[1][part])], ["class", "target", "background"])
+            held[target].append(codes(text or ""))
+            size += len(text or "")
+        if size >= CHUNK:
+            yield from counted()
+            held, size = ([], []), 0
+    yield from counted()
 
 
 @dataclass
 class Models:
-    """Counts of words, pairs and contexts by class; row 0 target, row 1 background."""
-
-    words: np.ndarray
-    pairs: np.ndarray
-    contexts: np.ndarray
+    """Counts of words, contexts and pairs (kind, key, target, background), stored; tokens in all, and words possible."""
 
-    def __post_init__(self):
-        self.totals = self.words.sum(axis=1, dtype=np.float64)
-
-    def losses(self, codes: np.ndarray) -> tuple[float, float]:
-        """Summed losses of a text's tokens."""
-        before, pair = pair_classes(codes)
-        out = []
-        for k in (0, 1):
-            single = (self.words[k][codes] + 1.0) / (self.totals[k] + WORDS)
-            p = (self.pairs[k][pair] + MASS * single) / (self.contexts[k][before] + MASS)
-            out.append(float(-np.log(p).sum()))
-        return out[0], out[1]
+    counts: DataFrame
+    totals: tuple[int, int]
+    words: int
 
 
 def count_models(docs: DataFrame, target_ids: DataFrame) -> Models:
     """Counts over all documents; ``target_ids`` holds the doc_id of the target's."""
     chosen = target_ids.select(F.col("doc_id").cast("long").alias("_id")).filter(F.col("_id").isNotNull()).distinct()
     flagged = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, F.col("doc_id") == F.col("_id"), "left")
-    counts = (
+    counts = stored(
         flagged.select("text", F.col("_id").isNotNull().alias("target"))
-        .mapInArrow(_tally, "class int, target long, background long")
-        .groupBy("class")
+        .mapInArrow(_tally, "kind byte, key long, target long, background long")
+        .groupBy("kind", "key")
         .agg(F.sum("target").alias("target"), F.sum("background").alias("background"))
-        .toArrow()  # at most WORDS + PAIRS + WORDS + 2 rows
     )
-    full = np.zeros((2, WORDS + 1 + PAIRS + WORDS + 1), np.float32)
-    at = counts.column("class").to_numpy()
-    full[0][at], full[1][at] = counts.column("target").to_numpy(), counts.column("background").to_numpy()
-    return Models(full[:, :WORDS].copy(), full[:, WORDS + 1 : WORDS + 1 + PAIRS].copy(), full[:, WORDS + 1 + PAIRS :].copy())
+    whole = counts.filter(F.col("kind") == WORD).agg(F.count("*"), F.sum("target"), F.sum("background")).first()
+    return Models(counts, (whole[1] or 0, whole[2] or 0), max(WORDS, whole[0] + 1))
+
+
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with the number of their chunk."""
+    chunk, size = TaskContext.get().partitionId() << 32, 0
+    for batch in slices(batches, "text"):
+        if size >= CHUNK:
+            chunk, size = chunk + 1, 0
+        size += batch.nbytes
+        yield pa.RecordBatch.from_arrays([pa.array([chunk] * batch.num_rows, pa.int64()), *batch.columns], ["chunk", *batch.schema.names])
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each n-gram of a chunk once, or once a task where a chunk is cut."""
+    codes, held, last = Codes(), [], None
+
+    def asked() -> Iterator[pa.RecordBatch]:
+        for kind, keys in enumerate(grams(held)):
+            seen = np.unique(keys)
+            yield from _rows({"chunk": np.full(len(seen), last, np.int64), "kind": np.full(len(seen), kind, np.int8), "key": seen})
+
+    for batch in slices(batches, "text"):
+        for chunk, text in zip(batch.column("chunk").to_pylist(), batch.column("text").to_pylist()):
+            if chunk != last:
+                yield from asked()
+                held, last = [], chunk
+            held.append(codes(text or ""))
+    yield from asked()
+
+
+def _scorer(totals: tuple[int, int], words: int):
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        codes = Codes()
+        coded = [codes(text or "") for text in texts.column("text").to_pylist()]
+        of_kind = answers.column("kind").to_numpy()
+        found = []  # of each kind: target's and background's counts by token
+        for kind, keys in enumerate(grams(coded)):
+            rows = np.flatnonzero(of_kind == kind)
+            known = answers.column("key").to_numpy()[rows]
+            order = np.argsort(known)
+            known = known[order]
+            at = np.searchsorted(known, keys)
+            hit = at < len(known)
+            hit[hit] = known[at[hit]] == keys[hit]
+            both = np.zeros((2, len(keys)))
+            for k, name in enumerate(("target", "background")):
+                both[k][hit] = answers.column(name).to_numpy()[rows][order][at[hit]]
+            found.append(both)
+        n = np.array([len(x) for x in coded], np.int64)
+        full, ends = n > 0, np.cumsum(n)
+        means = []
+        for k in (0, 1):
+            single = (found[WORD][k] + 1.0) / (totals[k] + words)
+            p = (found[PAIR][k] + MASS * single) / (found[CONTEXT][k] + MASS)
+            mean = np.zeros(len(n))
+            if full.any():
+                mean[full] = np.add.reduceat(-np.log(p), (ends - n)[full]) / n[full]
+            means.append(mean)
+        losses = [pa.array(x, pa.float64(), mask=~full) for x in (*means, means[0] - means[1])]
+        return pa.Table.from_arrays([texts.column("doc_id"), pa.array(n), *losses], [c.split()[0] for c in SCORES.split(", ")])
+
+    return run
 
 
 def score_language(docs: DataFrame, models: Models) -> DataFrame:
     """doc_id, n_tokens, the two mean losses and their difference for every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, both = Codes(), shared.value
-        for batch in slices(batches, "text"):
-            n, target, background = [], [], []
-            for text in batch.column("text").to_pylist():
-                word = codes(text or "")
-                t, b = both.losses(word) if len(word) else (None, None)
-                n.append(len(word))
-                target.append(t and t / len(word))
-                background.append(b and b / len(word))
-            change = [None if t is None else t - b for t, b in zip(target, background)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64())] + [pa.array(x, pa.float64()) for x in (target, background, change)],
-                ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"],
-            )
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCORES)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = stored(texts.mapInArrow(_chunked, "chunk long, doc_id long, text string"))
+    asked = texts.select("chunk", "text").mapInArrow(_asked, "chunk long, kind byte, key long")
+    answers = stored(asked.join(models.counts, ["kind", "key"]).select("chunk", "kind", "key", "target", "background"))
+    scored = texts.groupBy("chunk").cogroup(answers.groupBy("chunk"))
+    return scored.applyInArrow(_scorer(models.totals, models.words), SCORES)
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -388,6 +388,43 @@ def test_cross_entropy_difference(spark, docs, texts):
     assert lm_scoring.score_language(docs.limit(0), lm_scoring.count_models(docs.limit(0), target)).count() == 0
 
 
+def test_language_model_counts_plain_strings(spark, monkeypatch):
+    """More words and pairs than any table of 2^18 and 2^20 classes can keep apart, against counts of the strings."""
+    monkeypatch.setattr(lm_scoring, "CHUNK", 1 << 20)
+    letters = "abcdefghijklmnop"
+    name = lambda k: "".join(letters[k >> s & 15] for s in (20, 16, 12, 8, 4, 0))
+    rng = np.random.default_rng(8)
+    texts = [" ".join(map(name, rng.integers(0, 1 << 19, 3000).tolist())) for _ in range(400)] + ["", None, "abc abc"]
+    token = re.compile(r"[^\W\d_]+")
+    split = [token.findall((t or "").lower()) for t in texts]
+    pairs = [list(zip(["", *w], w)) for w in split]
+    target = set(range(0, len(texts), 4))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    models = lm_scoring.count_models(docs, spark.createDataFrame([(i,) for i in target], "doc_id long"))
+    stored = {k: Counter() for k in range(3)}
+    for kind, both, n in models.counts.groupBy("kind", F.struct("target", "background")).count().collect():
+        stored[kind][tuple(both)] = n
+    plain = [split, [[u for u, _ in p] for p in pairs], pairs]
+    counted = [[Counter(x for i, t in enumerate(grams) if part is None or i in part for x in t) for part in (target, None)] for grams in plain]
+    assert len(counted[0][1]) > 1 << 18 and len(counted[2][1]) > 1 << 20
+    for kind, (of_target, of_all) in enumerate(counted):
+        assert stored[kind] == Counter((of_target[x], n) for x, n in of_all.items())
+    possible = len(counted[0][1]) + 1
+    got = {r["doc_id"]: r for r in lm_scoring.score_language(docs, models).collect()}
+    assert len(got) == len(texts)
+    for i in (0, 1, 17, 399, 402):
+        for k, field in enumerate(("target_loss", "background_loss")):
+            word, context, pair = (counts[k] for counts in counted)
+            total = sum(word.values())
+            p = [(pair[u, w] + lm_scoring.MASS * (word[w] + 1) / (total + possible)) / (context[u] + lm_scoring.MASS) for u, w in pairs[i]]
+            assert np.isclose(got[i][field], -np.mean(np.log(p)))
+    assert got[400]["target_loss"] is None and got[401]["difference"] is None
+    unseen = spark.createDataFrame([(1, "zzz zzz")], "doc_id long, text string")
+    total = sum(counted[0][1].values())
+    p = [lm_scoring.MASS / (total + possible) / (counted[1][1][""] + lm_scoring.MASS), 1 / (total + possible)]
+    assert np.isclose(lm_scoring.score_language(unseen, models).first()["background_loss"], -np.mean(np.log(p)))
+
+
 # --- 7 decision lists
 
 
