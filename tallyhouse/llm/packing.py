@@ -7,11 +7,15 @@ order, with the rounding carried along the queues as well, the number of tokens
 in all is ``x * S_k // T - x * S_(k-1) // T`` (S: running totals of the queues), and the deficit stays within one token.  So
 the deficits at any window are known without packing what lies before it, and every task cuts its own documents.
 
-A queue must be owed a token per window for that count never to fall, so sources with less than ``1/window`` of all
-tokens share one queue; there are at most ``window`` queues, whatever the number of sources.  All windows are full but
-the last one.
-
-A document's place in its queue needs the tokens before it: tasks store their token ids with a running count per
+A queue must be owed a token per window for that count never to fall, so there are at most ``window`` such queues.
+Sources with less than ``1/window`` of all tokens are mixed into one of them, each a queue of its own again: they are
+the leaves of a binary tree, and after x tokens of a node its left child has given ``x * own // all`` and its right child
+the others, which never fall whatever the shares.  A deficit is carried over as many windows as a source needs to be owed
+a token; it stays below one token per level times the shares above, about two tokens where siblings are alike, for which
+sources are set side by side by size.  If these sources together are owed less than a token per window, the smallest large
+source is mixed in with them.  Their pieces are mostly single tokens.  All windows are full but the last one.
+
+A document's place in its source needs the tokens before it: tasks store their token ids with a running count per
 source, and the sums of (task, source) are ranked globally.  No text is shuffled.
 
 Defined results: a null text is an empty one, which is the closing id alone; a null source is the empty source; every
@@ -130,6 +134,46 @@ class Schedule:
             w, low = w + 1, high
 
 
+def tree_paths(by_source: DataFrame) -> DataFrame:
+    """(source, path): the steps from a leaf to the root of the binary tree over sources (source, n) in the order of n.
+
+    A step (level, right, own, all) has the tokens of a node and of its parent.
+    """
+    rank = F.col("_rank") - 1
+    ranked = materialize(rank_globally(by_source, "n", "source", row_number="_rank").select("source", "n", rank.alias("leaf")))
+    height = max(1, (ranked.count() - 1).bit_length())
+    leaves = ranked.select("source", "n", "leaf", F.explode(F.sequence(F.lit(0), F.lit(height))).alias("level"))
+    nodes = materialize(leaves.groupBy("level", F.expr("shiftright(leaf, level)").alias("node")).agg(F.sum("n").alias("all")))
+    steps = leaves.filter(F.col("level") > 0).withColumn("child", F.expr("shiftright(leaf, level - 1)"))
+    steps = steps.withColumns({"node": F.expr("shiftright(child, 1)"), "right": F.col("child") % 2 == 1})
+    children = nodes.select((F.col("level") + 1).alias("level"), F.col("node").alias("child"), F.col("all").alias("own"))
+    steps = steps.join(children, ["level", "child"]).join(nodes, ["level", "node"])
+    return steps.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("level", "right", "own", "all"))).alias("path"))
+
+
+def mixed(first: int, n: int, path: list[tuple[int, bool, int, int]]) -> np.ndarray:
+    """Positions in the tree's queue of n tokens of a leaf that begin at its token ``first``."""
+    at = np.arange(first, first + n)
+    for _, right, own, all_ in path:
+        if own == all_:
+            continue
+        if (int(at[-1]) + 1) * all_ >= 1 << 62:
+            at = at.astype(object)
+        at = at * all_ // own if right else -(-(at + 1) * all_ // own) - 1
+    return at
+
+
+def runs(first: int, n: int, path: list[dict] | None) -> Iterator[tuple[int, int, int]]:
+    """(start in the document, position in the queue, length) of tokens that lie side by side in their queue."""
+    if path is None:
+        yield 0, first, n
+        return
+    at = mixed(first, n, [(x["level"], x["right"], x["own"], x["all"]) for x in path])
+    begins = [0, *(np.flatnonzero(at[1:] - at[:-1] != 1) + 1).tolist(), n]
+    for begin, end in zip(begins, begins[1:]):
+        yield begin, int(at[begin]), end - begin
+
+
 def pack(coded: DataFrame, window: int = WINDOW) -> DataFrame:
     """Pieces of tokenised documents; ``coded`` is what ``tokenise`` gives, stored."""
     sums = materialize(coded.groupBy("part", "source").agg(F.sum("n").alias("n")))
@@ -137,37 +181,43 @@ def pack(coded: DataFrame, window: int = WINDOW) -> DataFrame:
     total = by_source.agg(F.sum("n")).first()[0] or 0
     # At most ``window`` rows, by the condition.
     large = sorted((r["source"], int(r["n"])) for r in by_source.filter(F.col("n") * window >= total).collect())
-    totals = [n for _, n in large]
-    rest = total - sum(totals)
-    shared = len(totals)  # the queue of all other sources
-    if rest and totals and rest * window < total:
-        shared = min(range(len(totals)), key=totals.__getitem__)
-        totals[shared] += rest
-    elif rest:
-        totals.append(rest)
+    rest = total - sum(n for _, n in large)
+    if rest and large and rest * window < total:
+        smallest = min(large, key=lambda x: x[::-1])
+        large.remove(smallest)
+        rest += smallest[1]
+    totals = [n for _, n in large] + [rest] * (rest > 0)
+    shared = len(large)  # the queue of all other sources
     plan, names = Schedule(totals, window), [name for name, _ in large]
 
     queue = F.lit(shared)
     if names:
         position = F.array_position(F.array(*[F.lit(name) for name in names]), F.col("source"))
         queue = F.when(position > 0, (position - 1).cast("int")).otherwise(queue)
-    queued = sums.withColumn("queue", queue.cast("int")).withColumn("_tie", F.struct("part", "source"))
+    queued = sums.withColumn("queue", queue.cast("int")).withColumn("_tie", F.struct("source", "part"))
     starts = rank_globally(queued, "queue", "_tie", running={"upto": "n"})
     starts = starts.select("part", "source", "queue", (F.col("upto") - F.col("n")).alias("first"))
+    starts = starts.join(starts.groupBy("source").agg(F.min("first").alias("base")), "source")
+    if rest:
+        starts = starts.join(tree_paths(by_source.filter(~F.col("source").isin(names))), "source", "left")
+    else:
+        starts = starts.withColumn("path", F.lit(None).cast("array<struct<level: int, right: boolean, own: bigint, all: bigint>>"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "ids"):
             out = [[] for _ in range(8)]
-            for doc_id, source, n, k, first, blob in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "source", "n", "queue", "first", "ids")]):
+            for doc_id, source, n, k, first, path, blob in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "source", "n", "queue", "first", "path", "ids")]):
                 ids = np.frombuffer(blob, "<u2").astype("<u4") if len(blob) % 2 == 0 else np.frombuffer(blob, "<u4", offset=1)
                 raw = memoryview(ids.tobytes())
-                for start, length, w, offset in plan.cut(k, first - plan.upto[k], n):
-                    for column, value in zip(out, (doc_id, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)]), n, w, offset, source)):
-                        column.append(value)
+                for begin, at, many in runs(first, n, path):
+                    for start, length, w, offset in plan.cut(k, at, many):
+                        start += begin
+                        for column, value in zip(out, (doc_id, start, length, zlib.crc32(raw[4 * start : 4 * (start + length)]), n, w, offset, source)):
+                            column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out[:7]] + [pa.array(out[7], pa.string())], [c.split()[0] for c in PIECES.split(", ")])
 
     placed = coded.join(starts, ["part", "source"]).select(
-        "doc_id", "source", "n", "queue", (F.col("first") + F.col("before")).alias("first"), "ids"
+        "doc_id", "source", "n", "queue", (F.col("first") - F.col("base") + F.col("before")).alias("first"), "path", "ids"
     )
     return placed.mapInArrow(run, PIECES)
 

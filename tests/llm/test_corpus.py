@@ -323,6 +323,44 @@ def test_schedule_carries_deficits():
             assert all(abs(g - min(w * window, sum(totals)) * t / sum(totals)) < 1 for w, g in enumerate(given))
 
 
+@pytest.mark.parametrize("window,large", [(64, 0), (64, 2), (16, 1)])
+def test_small_sources_are_mixed(spark, window, large):
+    """Every source, small ones too, has given its share of all tokens at the end of every window."""
+    rng = random.Random(window + large)
+    sizes = [rng.choice([1, 2, 5, 9, 20]) for _ in range(90)] + [1500] * large
+    if window == 16:
+        sizes = sizes[:3] + sizes[-1:]  # together below a token per window
+    rows = [(10_000 * k + i, k % 3, f"s{k}", 10, b"\0\0" * 10) for k, size in enumerate(sizes) for i in range(size)]
+    given = Counter()
+    coded = []
+    for i, part, source, n, ids in rows:
+        coded.append((part, i, source, given[part, source], n, ids))
+        given[part, source] += n
+    got = packing.pack(spark.createDataFrame(coded, "part int, doc_id long, source string, before long, n long, ids binary"), window).collect()
+    total, share, taken = 10 * len(rows), Counter(), Counter()
+    assert sorted(p for r in got for p in range(r["sequence_id"] * window + r["offset"], r["sequence_id"] * window + r["offset"] + r["length"])) == list(range(total))
+    assert sorted((r["doc_id"], p) for r in got for p in range(r["start"], r["start"] + r["length"])) == [(i, p) for i, *_ in sorted(rows) for p in range(10)]
+    for _, _, source, n, _ in rows:
+        share[source] += n
+    windows = {}
+    for r in got:
+        windows.setdefault(r["sequence_id"], Counter())[r["source"]] += r["length"]
+    for w in range(len(windows)):
+        taken.update(windows[w])
+        x = min((w + 1) * window, total)
+        assert all(abs(taken[s] - x * n / total) < 3 for s, n in share.items()), w
+
+
+def test_tree_positions():
+    rng = random.Random(9)
+    for _ in range(50):
+        own, other = rng.randint(1, 400), rng.randint(1, 400)
+        left, right = (packing.mixed(0, n, [(1, side, n, own + other)]).tolist() for side, n in ((False, own), (True, other)))
+        assert sorted(left + right) == list(range(own + other))
+    far = packing.mixed(10**10, 3, [(1, True, 2 * 10**10, 3 * 10**11)])
+    assert far.tolist() == [j * 15 for j in range(10**10, 10**10 + 3)]
+
+
 @pytest.fixture(scope="module")
 def reference():
     import tiktoken
