@@ -400,6 +400,11 @@ add("refresh_customer_stats_inner", _STATS, f"""
 add("refresh_customer_stats", _STATS, f"""
  SELECT c.customer_id, coalesce(orders, 0) AS total_orders, coalesce(value, 0) AS total_lifetime_value,
  {segment("coalesce(value, 0)", "coalesce(orders, 0)")} AS customer_segment FROM dimc c LEFT JOIN late ON late.customer_id = c.customer_id""")
+PARTS["all_orders"] = "SELECT customer_id, count(DISTINCT order_id) AS orders, sum(net_revenue) AS value FROM fact GROUP BY customer_id"
+for _name, _without in (("refresh_customer_stats_inner_all_facts", "'New'"), ("refresh_customer_stats_all_facts", segment("0", "0"))):
+    add(_name, _STATS, f"""
+ SELECT c_custkey AS customer_id, coalesce(orders, 0) AS total_orders, coalesce(value, 0) AS total_lifetime_value,
+ CASE WHEN orders IS NULL THEN {_without} ELSE {segment("value", "orders")} END AS customer_segment FROM customer LEFT JOIN all_orders ON customer_id = c_custkey""")
 
 # --- facts -------------------------------------------------------------------
 _FACT = ("order_date_key:i customer_sk:i product_sk:i geography_sk:i channel_sk:i order_id:i order_item_id:i quantity:i unit_price:d "

@@ -388,6 +388,26 @@ def _refreshed(keep: bool) -> Query:
 query("refresh_customer_stats_inner")(_refreshed(True))
 query("refresh_customer_stats")(_refreshed(False))
 
+
+def _refreshed_from_all(keep: bool) -> Query:
+    def run(spark, folder):
+        """All customers start as new, those that never ordered too; statistics refreshed from all facts."""
+        star = sample_star(spark, folder)
+        everyone = read_table(spark, folder, "customer").select(F.col("c_custkey").alias("customer_id"))
+        fresh = {"total_orders": F.lit(0), "total_lifetime_value": F.lit(0), "customer_segment": F.lit("New"), "last_updated_date": F.lit(NOW)}
+        known = star.customers.select("customer_id", "customer_sk")
+        starting = everyone.join(known, "customer_id", "left").withColumns(
+            {name: value.cast(star.customers.schema[name].dataType) for name, value in fresh.items()}
+        )
+        done = dimensions.refresh_customer_stats(starting, star.items, NOW, keep, HIGH, REGULAR)
+        return done.select("customer_id", "total_orders", "total_lifetime_value", "customer_segment")
+
+    return run
+
+
+query("refresh_customer_stats_inner_all_facts")(_refreshed_from_all(True))
+query("refresh_customer_stats_all_facts")(_refreshed_from_all(False))
+
 # --- facts -------------------------------------------------------------------
 
 @query("fact_order_items")
