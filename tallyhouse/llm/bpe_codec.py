@@ -48,13 +48,19 @@ def _compiled(pattern: str):
 
 
 def _units(enc, pattern: str, text: str, base: int, overlap: int, last: bool) -> tuple[list[int], list[int], list[int]]:
-    """Starts, id counts and ids of a chunk: single pre-tokens in both overlaps, one unit between them."""
+    """Starts, id counts and ids of a chunk: single pre-tokens in both overlaps, one unit between them.
+
+    The unit between them ends behind a pre-token whose last character is no blank.  Blanks at its end would be read
+    without the word that follows them, and the pattern takes blanks before a word apart from blanks before an end.
+    """
     starts = [m.start() for m in _compiled(pattern).finditer(text)]
     if not last:
         text, starts = text[: starts[-UNSURE]] if len(starts) > UNSURE else "", starts[:-UNSURE]
     ends = starts[1:] + [len(text)]
     low = next((i for i, s in enumerate(starts) if s >= overlap), len(starts))
     high = next((i for i in range(len(starts), low, -1) if starts[i - 1] <= len(text) - 2 * overlap), low)
+    while high > low and text[ends[high - 1] - 1].isspace():
+        high -= 1
     at, counts, ids = [], [], []
     for a, b in [*zip(starts[:low], ends[:low]), *([(starts[low], ends[high - 1])] if high > low else []), *zip(starts[high:], ends[high:])]:
         got = enc.encode_ordinary(text[a:b])

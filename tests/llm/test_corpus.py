@@ -383,7 +383,7 @@ def test_bpe_round_trip(docs, texts, reference, chunk, overlap):
 def test_bpe_stitches_at_any_cut(reference):
     rng = random.Random(6)
     pieces = ["'s", "'", "re", " ", "  ", "\n", "\t\n", "a" * 30, "ß", "12", "!?", " 'll", "é", "🙂", "word", "'r", "e "]
-    for _ in range(300):
+    for _ in range(6000):
         text = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 60)))
         chunk, overlap = rng.randint(6, 30), rng.randint(1, 5)
         parts = bpe_codec.chunks_of(text, chunk, overlap)
@@ -392,6 +392,18 @@ def test_bpe_stitches_at_any_cut(reference):
         assert got.tolist() == reference.encode_ordinary(text), (text, chunk, overlap)
 
 
+def test_bpe_stitches_long_texts_at_the_default_sizes(reference):
+    rng = random.Random(61)
+    blanks = [" ", "  ", "\n", "\n\n", "\t", " \n \n", "\r\n", "\u00a0", "\t\t\t", " " * 40, "\n" * 30]
+    for _ in range(40):
+        text = "".join(rng.choice(blanks) + rng.choice(["word", "It's", "12", "ß", "...", "🙂"]) for _ in range(rng.randint(12_000, 22_000)))
+        parts = bpe_codec.chunks_of(text, bpe_codec.CHUNK, bpe_codec.OVERLAP)
+        assert len(parts) > 1
+        units = [bpe_codec._units(reference, PATTERN, t, b, bpe_codec.OVERLAP, k + 1 == len(parts)) for k, (b, t) in enumerate(parts)]
+        got = bpe_codec.stitch(reference, PATTERN, [t for _, t in parts], [b for b, _ in parts], units, bpe_codec.OVERLAP)
+        assert got.tolist() == reference.encode_ordinary(text)
+
+
 # --- 6 language model
 
 
