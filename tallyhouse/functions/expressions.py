@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -102,6 +103,18 @@ def date_key(value) -> Column:
     return F.year(day) * 10000 + F.month(day) * 100 + F.day(day)
 
 
+def line_order(day, line="order_item_id") -> Column:
+    """Day and line id as one number, larger for newer lines.
+
+    A number of fixed width is compared in a hash aggregate, where a struct of both would need sorted rows.
+    """
+    days = F.coalesce(F.unix_date(as_column(day)), F.lit(-10_000_000)) + 10_000_000
+    wide = "decimal(38,0)"
+    return (days.cast("decimal(10,0)") * F.lit(Decimal(10**20))).cast(wide) + (
+        F.coalesce(as_column(line).cast("bigint"), F.lit(-(2**63))).cast("decimal(20,0)") + F.lit(Decimal(2**63))
+    ).cast(wide)
+
+
 def month_of_key(key) -> Column:
     """Month number counted from year 0, of an integer YYYYMMDD key."""
     number = as_column(key)

@@ -35,7 +35,9 @@ def drop_duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def normalise_nulls(df: DataFrame, tokens: Sequence[str] = rules.NULL_TOKENS) -> DataFrame:
-    return df.select(*[X.null_if_token(c, tokens).alias(c) for c in df.columns])
+    """Missing-value texts of all text columns to null."""
+    texts = {name for name, kind in df.dtypes if kind == "string"}
+    return df.select(*[X.null_if_token(c, tokens).alias(c) if c in texts else F.col(c) for c in df.columns])
 
 
 def drop_null_keys(df: DataFrame) -> DataFrame:

@@ -20,12 +20,21 @@ from tallyhouse.schemas import (
 from tallyhouse.session import literal_rows
 
 
-def _latest(columns: Sequence[str]):
-    """Newest line's columns as an aggregate, so copies combine before the shuffle.
+# What tells deliveries of a line apart, the newest largest, where lines have it.
+DELIVERED = ("delivered_at", "delivered_in")
 
-    A row number per key would sort all lines of a frequent key in one task.
+
+def newest_rows(lines: DataFrame, key: str, newest: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``columns`` of each key's newest line, one row per key.
+
+    ``newest`` has the key and the ``_newest`` line order of its lines.  Lines meet it in a hash join on both, so a
+    frequent key is spread and lines are never sorted.  Rows of one line are settled by delivery, then by their values.
     """
-    return F.max(F.struct("order_date", "order_item_id", *columns))
+    delivered = [c for c in DELIVERED if c in lines.columns]
+    narrow = lines.select(F.col(key).alias("_key"), X.line_order("order_date").alias("_order"), *delivered, *columns)
+    found = narrow.join(newest.hint("shuffle_hash"), (F.col("_key") == F.col(key)) & (F.col("_order") == F.col("_newest")))
+    settled = found.groupBy(key).agg(F.max(F.struct(*delivered, *columns)).alias("latest"))
+    return settled.select(key, *[F.col(f"latest.{c}").alias(c) for c in columns])
 
 
 def _stamp(now):
@@ -34,24 +43,22 @@ def _stamp(now):
 
 def customer_attributes(lines: DataFrame) -> DataFrame:
     """Newest attributes, distinct orders and lifetime value, one row per customer."""
-    return (
-        lines.groupBy("customer_id")
-        .agg(
-            _latest(("name", "email", "city", "signup_date")).alias("latest"),
-            F.count_distinct("order_id").alias("total_orders"),
-            F.sum("net_revenue").cast(MONEY).alias("total_lifetime_value"),
-        )
-        .select(
-            "customer_id",
-            F.col("latest.name").alias("customer_name"),
-            "latest.email",
-            "latest.signup_date",
-            F.year("latest.signup_date").alias("signup_year"),
-            F.month("latest.signup_date").alias("signup_month"),
-            "latest.city",
-            "total_orders",
-            "total_lifetime_value",
-        )
+    totals = lines.groupBy("customer_id").agg(
+        F.max(X.line_order("order_date")).alias("_newest"),
+        F.count_distinct("order_id").alias("total_orders"),
+        F.sum("net_revenue").cast(MONEY).alias("total_lifetime_value"),
+    )
+    latest = newest_rows(lines, "customer_id", totals.select("customer_id", "_newest"), ("name", "email", "city", "signup_date"))
+    return latest.join(totals, "customer_id").select(
+        "customer_id",
+        F.col("name").alias("customer_name"),
+        "email",
+        "signup_date",
+        F.year("signup_date").alias("signup_year"),
+        F.month("signup_date").alias("signup_month"),
+        "city",
+        "total_orders",
+        "total_lifetime_value",
     )
 
 
@@ -78,21 +85,18 @@ def build_dim_customer(
 def build_dim_product(lines: DataFrame, now=None, bands=rules.PRICE_BANDS) -> DataFrame:
     """Newest name, category and price per product, with the price's band."""
     stamp = _stamp(now)
-    return (
-        lines.groupBy("product_id")
-        .agg(_latest(("product_name", "category", "price")).alias("latest"))
-        .select(
-            "product_id",
-            "latest.product_name",
-            "latest.category",
-            F.col("latest.price").alias("unit_price"),
-            X.price_band("latest.price", bands).alias("price_band"),
-            stamp.alias("created_date"),
-            stamp.alias("last_updated_date"),
-            F.lit(1).alias("is_active"),
-        )
-        .select(*DIM_PRODUCT_COLUMNS)
-    )
+    newest = lines.groupBy("product_id").agg(F.max(X.line_order("order_date")).alias("_newest"))
+    latest = newest_rows(lines, "product_id", newest, ("product_name", "category", "price"))
+    return latest.select(
+        "product_id",
+        "product_name",
+        "category",
+        F.col("price").alias("unit_price"),
+        X.price_band("price", bands).alias("price_band"),
+        stamp.alias("created_date"),
+        stamp.alias("last_updated_date"),
+        F.lit(1).alias("is_active"),
+    ).select(*DIM_PRODUCT_COLUMNS)
 
 
 def build_dim_geography(spark: SparkSession, with_unknown: bool = True) -> DataFrame:

@@ -10,6 +10,10 @@ from tallyhouse.functions import rules
 from tallyhouse.schemas import FACT_ITEM_COLUMNS, MONEY, RATIO
 
 
+# Columns that tell a row's load, not its content.
+LOAD_COLUMNS = ("etl_load_id",)
+
+
 def _with_keys(lines: DataFrame, customers: DataFrame, products: DataFrame, geography: DataFrame, default_geography: int) -> DataFrame:
     """Surrogate keys by join.
 

@@ -164,11 +164,14 @@ class Warehouse:
     def replace(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         self.publish({table: self.write_version(table, df, partition_by)})
 
-    def overwrite_partitions(self, table: str, df: DataFrame, partition_by: Sequence[str], old: DataFrame) -> DataFrame:
+    def overwrite_partitions(
+        self, table: str, df: DataFrame, partition_by: Sequence[str], old: DataFrame, number: int | None = None
+    ) -> DataFrame:
         """Replace the partitions of ``old`` (rows of the table) and those of ``df`` by the rows of ``df``.
 
         Only ``df`` is written; the other partitions stay where they are, and the
         replaced ones too, for readers that hold them.  Returns the rows written.
+        ``number`` is the new version's, by default the next one.
         """
         keys = list(partition_by)
         current = self._published()[table]
@@ -183,7 +186,7 @@ class Warehouse:
             if tuple(r[k] for k in keys) not in replaced:
                 parts = [f"{k}={NULL_PARTITION if r[k] is None else r[k]}" for k in keys]
                 kept.append("/".join([f"{FOLDER}={r[FOLDER]}", *parts]))
-        self.publish({table: Version(new.number, (*kept, *new.folders), current.schema)})
+        self.publish({table: Version(number or new.number, (*kept, *new.folders), current.schema)})
         return written
 
     # --- run log ---

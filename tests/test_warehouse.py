@@ -196,6 +196,79 @@ def test_streaming_takes_same_and_older_days(spark, source, tmp_path, per_batch)
         assert content(wh, table, keys) == content(once, table, keys), table
 
 
+TABLES = ("fact_order_items", "fact_order_summary", "fact_monthly_product_performance", "dim_customer", "dim_product")
+
+
+def deliver(wh, source, *deliveries):
+    return [incremental.run_incremental(wh, source(*rows), whole_source=False) for rows in deliveries]
+
+
+def test_redelivered_line_without_a_price_stays_one_row(wh, source):
+    bare = dict(row(1, "2022-03-02"), price="")
+    deliver(wh, source, [bare, dict(row(2, "2022-03-03"), price="100.00")], [bare, dict(row(3, "2022-03-04"), price="300.00")])
+    got = wh.read("fact_order_items").select("order_item_id", "unit_price").collect()
+    assert sorted((r[0], float(r[1])) for r in got) == [(1, 300.0), (2, 100.0), (3, 300.0)]
+
+
+def test_corrected_amounts_and_moved_months(spark, wh, source, tmp_path):
+    """The last delivery of a line counts, in the month it is in now; all tables as if only it had come."""
+    first = [row(i, f"2022-0{1 + i % 6}-1{i % 9}") for i in range(24)]
+    fixed = [dict(first[4], total_amount="7"), dict(first[7], order_date="2022-09-01"), dict(first[9], order_date="2021-12-24", quantity="9"), dict(first[11], customer_id="77")]
+    assert deliver(wh, source, first, fixed, fixed, first[:3]) == [24, 4, 0, 0]
+    lines = {r["order_item_id"]: r for r in [*first, *fixed]}
+    once = Warehouse(spark, str(tmp_path / "once"))
+    incremental.run_incremental(once, source(*lines.values()))
+    for table in TABLES:
+        keys = [c for c in ("customer_sk", "product_sk") if c in once.read(table).columns]
+        assert content(wh, table, keys) == content(once, table, keys), table
+    index = wh.read(incremental.INDEX)
+    facts_ = wh.read("fact_order_items").select("order_item_id", "order_year", "order_month")
+    assert sorted(index.select(*facts_.columns).collect()) == sorted(facts_.collect())
+    assert wh.current_version(incremental.INDEX) == wh.current_version("fact_order_items")
+
+
+def test_delivery_rewrites_only_its_months(wh, source):
+    """One old line of one product: its month, and the month its product is sold in next."""
+    deliver(wh, source, [row(i, f"2022-0{1 + i % 6}-1{i % 9}") for i in range(24)])
+    before = {t: set(wh._published()[t].folders) for t in TABLES[:3]}
+    monthly = sorted(map(str, wh.read("fact_monthly_product_performance").filter("year_month_key > '2022-03'").collect()))
+    deliver(wh, source, [dict(row(500, "2022-02-20"), product_id="1", customer_id="1")])
+    assert sorted(map(str, wh.read("fact_monthly_product_performance").filter("year_month_key > '2022-05'").collect())) == [r for r in monthly if "2022-06" in r]
+    kept = {t: {f.split("/", 1)[1] for f in wh._published()[t].folders if "/" in f} for t in TABLES[:3]}
+    assert all("order_year=2022/order_month=2" not in kept[t] and len(kept[t]) == 5 for t in TABLES[:2])
+    assert "year_month_key=2022-06" in kept[TABLES[2]] and "year_month_key=2022-02" not in kept[TABLES[2]]
+    assert before and wh.read("fact_order_items").count() == 25
+
+
+def test_delivery_after_a_whole_load(spark, wh, source, tmp_path):
+    """The index and the newest lines are built anew where a whole load changed the facts behind them."""
+    incremental.run_incremental(wh, source(*EARLY))
+    deliver(wh, source, [dict(EARLY[3], total_amount="5")])
+    incremental.run_incremental(wh, source(*EARLY, *LATE))
+    old = dict(row(900, "2022-01-01"), customer_id="1", name="Older Name")
+    deliver(wh, source, [dict(LATE[2], order_date="2022-01-30"), old])
+    once = Warehouse(spark, str(tmp_path / "once"))
+    moved = dict(LATE[2], order_date="2022-01-30")
+    incremental.run_incremental(once, source(*EARLY[:3], dict(EARLY[3], total_amount="5"), *EARLY[4:], *LATE[:2], moved, *LATE[3:], old))
+    for table in TABLES[:3]:
+        keys = [c for c in ("customer_sk", "product_sk") if c in once.read(table).columns]
+        assert content(wh, table, keys) == content(once, table, keys), table
+    assert wh.read("dim_customer").filter("customer_name = 'Older Name'").count() == 0
+
+
+@pytest.mark.parametrize("per_batch", [None, 1])
+def test_newer_file_of_a_stream_wins(spark, source, tmp_path, per_batch):
+    wh, landing = Warehouse(spark, str(tmp_path / "wh")), str(tmp_path / "landing")
+    for rows in ([row(1, "2022-06-15"), row(2, "2022-06-16")], [dict(row(1, "2022-05-15"), total_amount="40")], [dict(row(1, "2022-04-15"), total_amount="30")]):
+        source(*rows).coalesce(1).write.options(**files.CSV_OPTIONS).mode("append").csv(landing)
+    load_available(wh, landing, str(tmp_path / "cp"), files_per_batch=per_batch)
+    got = wh.read("fact_order_items").select("order_item_id", "order_date_key", F.col("net_revenue").cast("int")).collect()
+    assert sorted(map(tuple, got)) == [(1, 20220415, 30), (2, 20220616, 102)]
+    assert wh.read("fact_order_summary").count() == 2
+    raw = spark.read.parquet(wh.path("raw", "ecommerce_orders"))
+    assert raw.select("etl_source_file").distinct().count() == 3 and raw.filter("etl_load_date IS NULL").count() == 0
+
+
 def test_from_date_filters_a_first_load(wh, source):
     assert incremental.run_incremental(wh, source(row(1, "2022-01-05"), row(2, "2022-02-05")), from_date=date(2022, 1, 31)) == 1
 
