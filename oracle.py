@@ -447,6 +447,27 @@ add("run_incremental", "order_item_id:i order_date_key:i quantity:i net_revenue:
   ELSE CAST(quantity * CASE WHEN known > 0 OR order_date > {SPLIT} THEN price ELSE early END AS DECIMAL(18,2)) END AS net_revenue
  FROM (SELECT d.*, r.total_amount AS amount, r.price AS known FROM dirtyfact d JOIN ranged r ON r.order_item_id = d.order_item_id),
   (SELECT CAST({rounded("median(CAST(price AS DOUBLE))", 2)} AS DECIMAL(18,2)) AS early FROM ranged WHERE price > 0 AND order_date <= {SPLIT})""")
+# Four deliveries of undamaged lines; of each line the last one counts, of each product the newest line of all deliveries.
+PARTS["delivered"] = """
+SELECT *, 1 AS delivery FROM lines WHERE order_item_id % 4 IN (0, 1)
+UNION ALL SELECT * REPLACE (CASE WHEN order_item_id % 8 = 1 THEN total_amount + 10 ELSE total_amount END AS total_amount), 2 FROM lines WHERE order_item_id % 4 IN (1, 2)
+UNION ALL SELECT * REPLACE (CASE WHEN order_item_id % 4 = 2 THEN order_date + 31 ELSE order_date END AS order_date), 3 FROM lines
+ WHERE order_item_id % 4 = 3 OR order_item_id % 12 = 6
+UNION ALL SELECT * REPLACE (CASE WHEN order_item_id % 16 = 3 THEN quantity + 1 ELSE quantity END AS quantity), 4 FROM lines WHERE order_item_id % 32 = 0 OR order_item_id % 16 = 3"""
+PARTS["current"] = f"""
+SELECT *, {date_key("order_date")} AS order_date_key, strftime(order_date, '%Y-%m') AS year_month_key, total_amount AS net_revenue
+FROM (SELECT *, row_number() OVER (PARTITION BY order_item_id ORDER BY delivery DESC) AS rn FROM delivered) WHERE rn = 1"""
+PARTS["current_monthly"] = f"""
+SELECT *, {growth("units", "lag(units) OVER (PARTITION BY product_id ORDER BY year_month_key)")} AS change
+FROM (SELECT product_id, year_month_key, sum(quantity) AS units, sum(net_revenue) AS value, count(DISTINCT customer_id) AS buyers FROM current GROUP BY 1, 2)"""
+add("stream_load", "table_name:s key:i label:s number:i amount:d", f"""
+ SELECT 'fact_order_items' AS table_name, order_item_id AS key, CAST(order_date_key AS VARCHAR) AS label, quantity AS number, CAST(net_revenue AS DOUBLE) AS amount FROM current
+ UNION ALL SELECT 'fact_order_summary', order_id, CAST(order_date_key AS VARCHAR), count(*), CAST(sum(net_revenue) AS DOUBLE) FROM current GROUP BY order_id, order_date_key
+ UNION ALL SELECT 'monthly_units', product_id, year_month_key, units, CAST(value AS DOUBLE) FROM current_monthly
+ UNION ALL SELECT 'monthly_change', product_id, year_month_key, buyers, change FROM current_monthly
+ UNION ALL SELECT 'dim_customer', customer_id, {segment("value", "orders")}, orders, CAST(value AS DOUBLE)
+  FROM (SELECT customer_id, count(DISTINCT order_id) AS orders, sum(net_revenue) AS value FROM current GROUP BY 1)
+ UNION ALL SELECT 'dim_product', product_id, any_value(product_name), 0, CAST(arg_max(price, (order_date, order_item_id, delivery)) AS DOUBLE) FROM delivered GROUP BY 2""")
 add("rebuild_derived_facts", "year_month_key:s product_id:i total_net_revenue:d total_orders:i total_customers:i revenue_mom_change_pct:d units_mom_change_pct:d",
     "SELECT * FROM mom")
 add("full_load", "customer_id:i customer_name:s city:s total_orders:i total_lifetime_value:d customer_segment:s", f"""

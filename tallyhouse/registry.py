@@ -25,6 +25,7 @@ from tallyhouse.session import materialize, shared_dir
 from tallyhouse.sources import files
 from tallyhouse.sources.sample_tables import dirty_source, order_lines, read_table, sample_geography
 from tallyhouse.sources.warehouse import Warehouse, current_runs, high_water_marks, upsert_runs
+from tallyhouse.streaming.landing import load_available
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -497,6 +498,54 @@ def _run_incremental(spark, folder):
     )
 
 
+def _deliveries(spark, folder) -> tuple[list[list[DataFrame]], list]:
+    """Two calls with two deliveries each: days overlap, lines come again, corrected, with another day or quantity."""
+    lines = order_lines(spark, folder)
+    i = F.col("order_item_id")
+    amount = F.when(i % 8 == 1, F.col("total_amount") + 10).otherwise(F.col("total_amount")).cast(T.DecimalType(18, 2))
+    day = F.when((i % 4 == 2) & (i % 3 == 0), F.date_add("order_date", 31)).otherwise(F.col("order_date"))
+    text = [F.col(c).cast("string").alias(c) for c in files.SOURCE_COLUMNS]
+    return [
+        [lines.filter((i % 4).isin(0, 1)), lines.withColumn("total_amount", amount).filter((i % 4).isin(1, 2))],
+        [
+            lines.withColumn("order_date", day).filter((i % 4 == 3) | (i % 4 == 2) & (i % 3 == 0)),
+            lines.withColumn("quantity", F.col("quantity") + (i % 16 == 3).cast("int")).filter((i % 32 == 0) | (i % 16 == 3)),
+        ],
+    ], text
+
+
+@query("stream_load")
+def _stream_load(spark, folder):
+    """Facts and dimensions after files were streamed in two calls: of each line the last delivery counts."""
+    wh, path = Warehouse(spark, scratch(spark)), scratch(spark)
+    calls, text = _deliveries(spark, folder)
+    for deliveries in calls:
+        for rows in deliveries:
+            rows.select(*text).write.options(**files.CSV_OPTIONS).mode("append").csv(f"{path}/landing")
+        load_available(wh, f"{path}/landing", f"{path}/taken", SETTINGS, sample_geography(spark, folder))
+    product = wh.read("dim_product")
+
+    def rows(table, key, label, number, amount):
+        return table.select(
+            key.cast("bigint").alias("key"), label.cast("string").alias("label"), number.cast("bigint").alias("number"), amount.alias("amount")
+        )
+
+    c = F.col
+    parts = {
+        "fact_order_items": rows(wh.read("fact_order_items"), c("order_item_id"), c("order_date_key"), c("quantity"), c("net_revenue")),
+        "fact_order_summary": rows(wh.read("fact_order_summary"), c("order_id"), c("order_date_key"), c("total_items"), c("order_net_revenue")),
+        "monthly_units": rows(wh.read("fact_monthly_product_performance").join(product, "product_sk"), c("product_id"), c("year_month_key"), c("total_units_sold"), c("total_net_revenue")),
+        "monthly_change": rows(wh.read("fact_monthly_product_performance").join(product, "product_sk"), c("product_id"), c("year_month_key"), c("total_customers"), c("units_mom_change_pct")),
+        "dim_customer": rows(wh.read("dim_customer"), c("customer_id"), c("customer_segment"), c("total_orders"), c("total_lifetime_value")),
+        "dim_product": rows(product, c("product_id"), c("product_name"), F.lit(0), c("unit_price")),
+    }
+    out = None
+    for name, part in parts.items():
+        part = part.withColumns({"amount": c("amount").cast("double"), "table_name": F.lit(name)})
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 @query("rebuild_derived_facts")
 def _rebuild_derived_facts(spark, folder):
     """Monthly fact after an incremental load that only touched the later months."""
