@@ -271,7 +271,8 @@ def exact_scores(pairs: DataFrame, docs: DataFrame, queries: Queries, n: int, to
             columns = list(zip(*rows)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["item", "_doc", "doc_id", "score"])
 
-    wanted = pairs.groupBy(F.col("_doc").alias("_wanted")).agg(F.collect_set("item").alias("items"))
+    # Stored, so that its true size decides whether the texts must be shuffled to meet it.
+    wanted = stored(pairs.groupBy(F.col("_doc").alias("_wanted")).agg(F.collect_set("item").alias("items")))
     texts = docs.join(wanted, F.col("_doc") == F.col("_wanted")).select("_doc", "doc_id", "text", "items")
     return texts.mapInArrow(run, "item long, _doc long, doc_id long, score long")
 
