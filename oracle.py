@@ -470,6 +470,11 @@ add("stream_load", "table_name:s key:i label:s number:i amount:d", f"""
  UNION ALL SELECT 'dim_product', product_id, any_value(product_name), 0, CAST(arg_max(price, (order_date, order_item_id, delivery)) AS DOUBLE) FROM delivered GROUP BY 2""")
 add("rebuild_derived_facts", "year_month_key:s product_id:i total_net_revenue:d total_orders:i total_customers:i revenue_mom_change_pct:d units_mom_change_pct:d",
     "SELECT * FROM mom")
+_KEYS = ("order_item_id", "order_id", "product_id", "customer_id")
+_FAULTS = ", ".join([f"CASE WHEN {c} IS NULL THEN 'missing {c}' END" for c in _KEYS] + [f"CASE WHEN {c} IS NOT NULL AND {whole(c)} IS NULL THEN 'unreadable {c}' END" for c in _KEYS])
+add("quarantine", TEXTS + " stage:s reasons:s", f"""
+ SELECT *, 'clean' AS stage FROM (SELECT {", ".join(TEXT_COLUMNS)}, concat_ws(', ', {_FAULTS}) AS reasons FROM nulled) WHERE reasons <> ''
+ UNION ALL SELECT {", ".join(f"CAST({c} AS VARCHAR)" for c in TEXT_COLUMNS)}, 'date_key_range', 'fact' FROM cleaned WHERE {date_key("order_date")} NOT BETWEEN 19940101 AND 20021231""")
 add("full_load", "customer_id:i customer_name:s city:s total_orders:i total_lifetime_value:d customer_segment:s", f"""
  SELECT a.customer_id, customer_name, a.city, coalesce(orders, 0) AS total_orders, coalesce(value, 0) AS total_lifetime_value,
  {segment("coalesce(value, 0)", "coalesce(orders, 0)")} AS customer_segment FROM

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import expressions as X
 from tallyhouse.functions import rules
+from tallyhouse.operators import quarantine
 from tallyhouse.operators.ordering import weighted_median
 from tallyhouse.schemas import CRITICAL_KEYS, MONEY, RATIO
 from tallyhouse.session import materialize
@@ -186,9 +187,9 @@ STEPS = (
 )
 
 
-def typed(df: DataFrame, formats: Sequence[str] = rules.DATE_FORMATS, last=None) -> DataFrame:
-    """All steps, or those up to and including ``last``."""
-    for step in STEPS:
+def typed(df: DataFrame, formats: Sequence[str] = rules.DATE_FORMATS, last=None, first=None) -> DataFrame:
+    """All steps, or those from ``first`` up to and including ``last``."""
+    for step in STEPS[STEPS.index(first) if first else 0 :]:
         df = df.transform(step, formats) if step is parse_dates else df.transform(step)
         if step is last:
             break
@@ -226,8 +227,24 @@ def clean_orders(
     return rows.transform(repair_price).transform(derived).transform(with_audit, load_id, source_file, load_time)
 
 
+def clean_split(
+    df: DataFrame, load_id: str, source_file: str = "", load_time=None, formats: Sequence[str] = rules.DATE_FORMATS
+) -> tuple[DataFrame, DataFrame]:
+    """(cleaned rows as of ``clean_orders``, rejected rows with their reasons), from one pass over the source.
+
+    Rows without exact duplicates are written once, split by whether a key is at fault; both results read their part.
+    """
+    text = typed(df, last=normalise_nulls)
+    tagged = text.withColumn(quarantine.REASONS, quarantine.reasons_of(quarantine.key_faults()))
+    stored = materialize(tagged.withColumn("_rejected", F.size(quarantine.REASONS) > 0), ("_rejected",))
+    accepted = stored.filter(~F.col("_rejected")).select(*text.columns)
+    rows = typed(accepted, formats, first=drop_null_keys).transform(repair_price).transform(derived)
+    rejected = stored.filter("_rejected").select(*text.columns, quarantine.REASONS)
+    return rows.transform(with_audit, load_id, source_file, load_time), rejected
+
+
 def rejected_keys(df: DataFrame) -> DataFrame:
-    """Rows that cleaning drops for their keys, with the reason (quarantine)."""
+    """Rows that cleaning drops for their keys, with the reason."""
     rows = typed(df, last=normalise_nulls)
     missing = F.lit(False)
     unreadable = F.lit(False)

@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import rules
 from tallyhouse.operators import dimensions as D
-from tallyhouse.operators import facts
+from tallyhouse.operators import facts, quarantine
 from tallyhouse.operators.calendar import build_dim_date
-from tallyhouse.operators.cleaning import clean_orders
+from tallyhouse.operators.cleaning import clean_orders, clean_split
 from tallyhouse.operators.constraints import fact_rules, split_violations
 from tallyhouse.operators.upsert import upsert_customers_changed, upsert_products_changed, upsert_type1
 from tallyhouse.plans.star import Star
@@ -100,6 +100,34 @@ def build_items(wh: Warehouse, lines: DataFrame, settings: Settings) -> DataFram
     return facts.with_layout_columns(good)
 
 
+def priced(lines: DataFrame) -> DataFrame:
+    """Lines that can enter the star: a batch without any price has no median to repair them with."""
+    return lines.filter(F.col("price").isNotNull())
+
+
+def quarantine_rows(
+    wh: Warehouse, lines: DataFrame, settings: Settings, load_id: str, loaded: int | None = None, rejected: DataFrame | None = None
+) -> int:
+    """Add to the quarantine what a load left out, with reasons; returns the rows added.
+
+    ``lines`` are the cleaned lines, ``loaded`` the fact rows they became, ``rejected`` the delivered rows that cleaning
+    tagged.  The dimensions are joined only where the counts leave lines unexplained.
+    """
+    broken = quarantine.broken_lines(lines, settings.date_key_range)
+    parts = [quarantine.quarantined(broken, "fact", load_id)]
+    if rejected is not None:
+        parts.append(quarantine.quarantined(rejected, "clean", load_id))
+    added = wh.append(quarantine.TABLE, parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]))
+    counts = {r["stage"]: r["count"] for r in added.groupBy("stage").count().collect()}  # two stages
+    unexplained = 0 if loaded is None else lines.count() - counts.get("fact", 0) - loaded
+    if unexplained:
+        keys = {"customer_id": wh.read("dim_customer"), "product_id": wh.read("dim_product")}
+        sound = lines.join(broken.select("order_item_id"), "order_item_id", "left_anti")
+        more = wh.append(quarantine.TABLE, quarantine.quarantined(quarantine.unmapped_lines(sound, keys), "fact", load_id))
+        counts["unmapped"] = more.count()
+    return sum(counts.values())
+
+
 def write_derived(wh: Warehouse, items: DataFrame) -> dict[str, Version]:
     """New versions of the order and the monthly fact from the stored items."""
     summary = facts.with_layout_columns(facts.build_fact_order_summary(items))
@@ -164,7 +192,7 @@ def run_pipeline(
     if dry_run:
         return clean_orders(source, load_id, source_name, load_time, stage=False)
     try:
-        cleaned = clean_orders(source, load_id, source_name, load_time)
+        cleaned, rejected = clean_split(source, load_id, source_name, load_time)
         on_step("processed")
         path = save_processed(cleaned, f"{wh.root}/processed", load_time.strftime("%Y%m%d_%H%M%S"))
         stored = wh.spark.read.parquet(path)
@@ -176,23 +204,24 @@ def run_pipeline(
         with wh.one_publication():
             on_step("dimensions")
             seed_dimensions(wh, settings, geography)
-            load_dimensions(wh, stored, settings, load_time)
+            load_dimensions(wh, priced(stored), settings, load_time)
             on_step("facts")
-            load_facts(wh, stored, settings)
+            load_facts(wh, priced(stored), settings)
+            left_out = quarantine_rows(wh, stored, settings, load_id, wh.read("fact_order_items").count(), rejected)
             on_step("refresh")
             refresh_customers(wh, settings, load_time)
-        record_success(wh, started, load_id)
+        record_success(wh, started, load_id, left_out)
     except Exception:
         wh.record_run(PIPELINE, None, started, "FAILED", None, load_id)
         raise
     return stored
 
 
-def record_success(wh: Warehouse, started: datetime, load_id: str) -> None:
-    """A run row with the rows and the newest date of the item fact."""
+def record_success(wh: Warehouse, started: datetime, load_id: str, rejected: int) -> None:
+    """A run row with the rows and the newest date of the item fact, and the rows left out."""
     summary = wh.read("fact_order_items").agg(F.count(F.lit(1)).alias("n"), F.max("order_date_key").alias("k")).first()
     loaded = datetime.strptime(str(summary["k"]), "%Y%m%d").date() if summary["k"] else None
-    wh.record_run(PIPELINE, loaded, started, "SUCCESS", summary["n"], load_id)
+    wh.record_run(PIPELINE, loaded, started, "SUCCESS", summary["n"], load_id, rejected)
 
 
 def describe_clean(cleaned: DataFrame) -> DataFrame:
@@ -205,17 +234,18 @@ def run_from_staging(wh: Warehouse, settings: Settings = Settings(), now=None) -
     load_id, started = new_load_id(), utc_now()
     try:
         with wh.one_publication():
-            load_from_staging(wh, load_id, settings, now)
-        record_success(wh, started, load_id)
+            left_out = load_from_staging(wh, load_id, settings, now)
+        record_success(wh, started, load_id, left_out)
     except Exception:
         wh.record_run(PIPELINE, None, started, "FAILED", None, load_id)
         raise
 
 
-def load_from_staging(wh: Warehouse, load_id: str, settings: Settings, now=None) -> None:
+def load_from_staging(wh: Warehouse, load_id: str, settings: Settings, now=None) -> int:
+    """Returns the staging rows left out, which go to the quarantine."""
     staging = wh.spark.read.parquet(wh.path("staging", "order_items"))
     lines = staging.withColumnsRenamed({"customer_name": "name", "unit_price": "price", "total_amount": "net_revenue"})
-    customers, products = D.build_dim_customer(lines, now), D.build_dim_product(lines, now)
+    customers, products = D.build_dim_customer(priced(lines), now), D.build_dim_product(priced(lines), now)
 
     def merged(table, incoming, natural_key, surrogate_key, upsert):
         if wh.exists(table):
@@ -233,7 +263,7 @@ def load_from_staging(wh: Warehouse, load_id: str, settings: Settings, now=None)
         }
     )
     items = facts.build_fact_from_staging(
-        staging,
+        staging.filter(F.col("unit_price").isNotNull()),
         wh.read("dim_customer"),
         wh.read("dim_product"),
         wh.read("dim_geography"),
@@ -246,3 +276,5 @@ def load_from_staging(wh: Warehouse, load_id: str, settings: Settings, now=None)
     stored = wh.read_version("fact_order_items", version)
     wh.publish({"fact_order_items": version, **write_derived(wh, stored)})
     refresh_customers(wh, settings, now)
+    delivered = lines.withColumn("total_amount", F.col("net_revenue"))
+    return quarantine_rows(wh, delivered, settings, load_id, stored.count())

@@ -568,6 +568,16 @@ def _rebuild_derived_facts(spark, folder):
     )
 
 
+@query("quarantine")
+def _quarantine(spark, folder):
+    """What a full load of the damaged lines left out, and why."""
+    wh = Warehouse(spark, scratch(spark))
+    full_load.run_pipeline(
+        wh, dirty_source(spark, folder), "sample", SETTINGS, skip_raw=True, geography=sample_geography(spark, folder), load_time=NOW
+    )
+    return wh.read("quarantine").drop("etl_load_id").withColumn("reasons", F.array_join("reasons", ", "))
+
+
 @query("full_load")
 def _full_load(spark, folder):
     wh = Warehouse(spark, scratch(spark))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Column names, their order and types are those of the source files and of the star.
+
 MONEY = T.DecimalType(18, 2)
 RATIO = T.DecimalType(10, 4)
 
@@ -50,5 +52,5 @@ CHANNEL_SCHEMA = "channel_sk long, channel_name string, channel_type string, cha
 
 CONTROL_SCHEMA = (
     "run_seq long, pipeline_name string, last_loaded_date date, last_run_start timestamp, "
-    "last_run_end timestamp, last_run_status string, rows_loaded long, etl_load_id string"
+    "last_run_end timestamp, last_run_status string, rows_loaded long, etl_load_id string, rows_rejected long"
 )

@@ -52,7 +52,7 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a frame to a table in the shared folder and read it from there.
 
     Computed once and cut from its lineage, yet safe when executors are lost.
@@ -61,7 +61,7 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4()}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -164,6 +164,13 @@ class Warehouse:
     def replace(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         self.publish({table: self.write_version(table, df, partition_by)})
 
+    def append(self, table: str, df: DataFrame) -> DataFrame:
+        """Add rows to a table, which may be new; what is there stays where it is.  Returns the rows added."""
+        new = self.write_version(table, df)
+        before = self._published()[table].folders if self.exists(table) else ()
+        self.publish({table: Version(new.number, (*before, *new.folders), new.schema)})
+        return self.read_version(table, new)
+
     def overwrite_partitions(
         self, table: str, df: DataFrame, partition_by: Sequence[str], old: DataFrame, number: int | None = None
     ) -> DataFrame:
@@ -205,10 +212,11 @@ class Warehouse:
         status: str,
         rows_loaded: int | None,
         load_id: str,
+        rows_rejected: int | None = None,
     ) -> None:
         seq = self.runs().agg(F.coalesce(F.max("run_seq"), F.lit(0))).first()[0] + 1
         ended = datetime.now(timezone.utc).replace(tzinfo=None)
-        self._append("runs", [(seq, pipeline, loaded_date, started, ended, status, rows_loaded, load_id)], CONTROL_SCHEMA)
+        self._append("runs", [(seq, pipeline, loaded_date, started, ended, status, rows_loaded, load_id, rows_rejected)], CONTROL_SCHEMA)
 
 
 def current_runs(runs: DataFrame) -> DataFrame:

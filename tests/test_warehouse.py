@@ -53,6 +53,41 @@ def test_full_load(wh, source):
     assert wh.spark.sql("SELECT sum(net_revenue) FROM vw_monthly_revenue").first()[0] == total
 
 
+FAULTY = [
+    row(900, "soon"), dict(row(901, "2022-01-05"), customer_id="", order_id="x"), dict(row(902, "2022-01-05"), product_id="abc"), EARLY[0], EARLY[1],
+]
+
+
+def reasons(wh):
+    return sorted((r["order_item_id"], r["stage"], ", ".join(r["reasons"])) for r in wh.read("quarantine").collect())
+
+
+def test_quarantine_balances(spark, wh, source, tmp_path):
+    """Rows in are facts, quarantined rows and exact duplicates, in full, staging and delivery loads."""
+    want = [("900", "fact", "date_key_range"), ("901", "clean", "missing customer_id, unreadable order_id"), ("902", "clean", "unreadable product_id")]
+    full_load.run_pipeline(wh, source(*EARLY, *FAULTY), skip_raw=True)
+    assert reasons(wh) == want
+    assert wh.read("fact_order_items").count() + len(want) + 2 == len(EARLY) + len(FAULTY)
+    assert [r["rows_rejected"] for r in wh.runs().collect()] == [3]
+    staged = Warehouse(spark, str(tmp_path / "staged"))
+    full_load.seed_dimensions(staged, Settings())
+    files.load_staging(spark.read.parquet(f"{wh.root}/processed"), staged.path("staging", "order_items"))
+    full_load.run_from_staging(staged)
+    assert reasons(staged) == want[:1] and staged.read("fact_order_items").count() == 24
+    stream = Warehouse(spark, str(tmp_path / "stream"))
+    deliver(stream, source, [*EARLY, *FAULTY], [dict(row(910, "2022-02-01"), price=""), dict(row(911, "2022-02-01"), price="-1")])
+    assert reasons(stream) == [*want, ("910", "fact", "no price"), ("911", "fact", "no price")]
+    assert stream.read("fact_order_items").count() == 24 and [r["rows_rejected"] for r in stream.runs().orderBy("run_seq").collect()] == [3, 2]
+
+
+def test_unmapped_lines_are_quarantined(spark, wh, source):
+    full_load.run_pipeline(wh, source(*EARLY), skip_raw=True)
+    lines = spark.read.parquet(f"{wh.root}/processed").drop("run_ts")
+    strange = lines.withColumn("customer_id", F.when(F.col("order_item_id") < 3, 99).otherwise(F.col("customer_id")).cast("long"))
+    assert full_load.quarantine_rows(wh, strange, Settings(), "b", loaded=21) == 3
+    assert reasons(wh) == [(str(i), "fact", "unmapped customer_id") for i in range(3)]
+
+
 def test_dry_run_writes_nothing(wh, source):
     rows = full_load.run_pipeline(wh, source(*EARLY), dry_run=True)
     assert rows.count() == 24 and not wh.exists("fact_order_items") and wh.runs().count() == 0
