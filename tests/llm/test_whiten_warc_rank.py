@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bloom_rank, warc, whitening
+from tallyhouse.llm import bloom_rank, lm_scoring, warc, whitening
 
 CLASH = "_row long, first long, x string, n long, item long, _doc long, rank int, score string, payload string"
 
@@ -287,3 +287,31 @@ def test_bounds_are_never_below_scores():
                     assert bound[j] >= exact
                     looser.append(bound[j] / exact if exact else 1.0)
     assert np.mean(looser) < 1.3
+
+
+# --- 6 language model in one exchange
+
+
+@pytest.mark.parametrize("chunk,targets", [(1 << 24, 1 << 20), (700, 1 << 20), (90, 3)])
+def test_corpus_scores_in_one_exchange(spark, tmp_path, monkeypatch, chunk, targets):
+    """As counting first and asking then, for one chunk and range or many, and target ids met by a shuffle."""
+    monkeypatch.setattr(lm_scoring, "CHUNK", chunk)
+    monkeypatch.setattr(lm_scoring, "TARGETS", targets)
+    rng = random.Random(3)
+    rows = [(i, " ".join(f"w{chr(97 + int(rng.paretovariate(0.7)) % 26)}" for _ in range(rng.randint(0, 60)))) for i in range(90)]
+    rows += [(90, None), (91, ""), (92, "1 2 3"), (None, "wa wb"), (5, "wa wa"), (5, "wa wa"), (93, "Straße straße 🙂 x" * 200)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    target = spark.createDataFrame([(i,) for i in range(0, 94, 3)] + [(3,), (None,)], "doc_id long")
+    rounded = lambda df: Counter((r[0], r[1], *(None if x is None else round(x, 9) for x in r[2:])) for r in df.collect())
+    got = rounded(lm_scoring.score_corpus(with_clashes(docs), target))
+    assert got == rounded(lm_scoring.score_language(docs, lm_scoring.count_models(docs, target))) and sum(got.values()) == len(rows)
+    assert lm_scoring.score_corpus(docs.limit(0), target).count() == 0
+
+
+def test_packed_numbers():
+    rng = np.random.default_rng(1)
+    for numbers in ([], [0], [255, 256, 0, 1], [2**64 - 1, 0], (rng.integers(0, 2**63, 500, np.uint64) >> rng.integers(0, 63, 500).astype(np.uint64)).tolist()):
+        data = lm_scoring.packed(np.array(numbers, np.uint64))
+        assert lm_scoring.unpacked(data, len(numbers)).tolist() == numbers
+        assert not numbers or lm_scoring._key_count(data) == len(numbers)
