@@ -234,7 +234,6 @@ add("load_staging",
     signup_date, product_name, category, price AS unit_price, dq_email_valid, dq_date_valid, {_COMPUTED}
     FROM (SELECT * EXCLUDE (discount_amount, order_year, order_month, customer_tenure_days) FROM cleaned)""")
 add("staging_computed", "order_item_id:i " + _COMPUTED_COLUMNS, f"SELECT order_item_id, {_COMPUTED} FROM lines")
-add("save_processed", "order_item_id:i net_revenue:d price_band:s etl_load_id:s", "SELECT * FROM cleaned")
 add("truncate_reload_fact", "table_name:s row_count:i net_revenue:d", """
  SELECT 'fact_order_items' AS table_name, count(*) AS row_count, sum(net_revenue) AS net_revenue FROM fact
  UNION ALL SELECT 'fact_order_summary', count(DISTINCT (order_id, order_date_key, customer_id, geography_sk)), sum(net_revenue) FROM fact
@@ -272,7 +271,8 @@ add("derive_tenure", "order_item_id:i customer_tenure_days:i", "SELECT * FROM cl
 add("derive_year_month", "order_item_id:i order_year:i order_month:i", "SELECT * FROM cleaned")
 add("price_band", "order_item_id:i price:d price_band:s", "SELECT * FROM cleaned")
 add("audit_columns", "order_item_id:i etl_load_id:s etl_load_date:s etl_source_file:s", "SELECT * FROM cleaned")
-add("clean_orders",
+for _name in ("clean_orders", "save_processed"):
+  add(_name,
     "order_item_id:i order_id:i product_id:i quantity:i customer_id:i order_date:s total_amount:d name:s city:s email:s signup_date:s "
     "product_name:s category:s price:d dq_date_valid:i dq_order_before_signup:i dq_email_valid:i gross_revenue:d net_revenue:d "
     "discount_amount:d discount_pct:d customer_tenure_days:i order_year:i order_month:i price_band:s etl_load_id:s etl_load_date:s etl_source_file:s",
@@ -394,14 +394,8 @@ add("upsert_product_changed", "product_sk:i product_id:i product_name:s category
 add("merge_counts", "action:s row_count:i", f"SELECT action, count(*) AS row_count FROM ({_PRODUCT_MERGE}) GROUP BY action")
 PARTS["late"] = f"SELECT customer_id, count(DISTINCT order_id) AS orders, sum(net_revenue) AS value FROM fact WHERE order_date_key > {SPLIT_KEY} GROUP BY customer_id"
 _STATS = "customer_id:i total_orders:i total_lifetime_value:d customer_segment:s"
-add("refresh_customer_stats_inner", _STATS, f"""
- SELECT c.customer_id, coalesce(orders, total_orders) AS total_orders, coalesce(value, total_lifetime_value) AS total_lifetime_value,
- CASE WHEN orders IS NULL THEN customer_segment ELSE {segment("value", "orders")} END AS customer_segment FROM dimc c LEFT JOIN late ON late.customer_id = c.customer_id""")
-add("refresh_customer_stats", _STATS, f"""
- SELECT c.customer_id, coalesce(orders, 0) AS total_orders, coalesce(value, 0) AS total_lifetime_value,
- {segment("coalesce(value, 0)", "coalesce(orders, 0)")} AS customer_segment FROM dimc c LEFT JOIN late ON late.customer_id = c.customer_id""")
 PARTS["all_orders"] = "SELECT customer_id, count(DISTINCT order_id) AS orders, sum(net_revenue) AS value FROM fact GROUP BY customer_id"
-for _name, _without in (("refresh_customer_stats_inner_all_facts", "'New'"), ("refresh_customer_stats_all_facts", segment("0", "0"))):
+for _name, _without in [(n + tail, w) for n, w in (("refresh_customer_stats_inner", "'New'"), ("refresh_customer_stats", segment("0", "0"))) for tail in ("", "_all_facts")]:
     add(_name, _STATS, f"""
  SELECT c_custkey AS customer_id, coalesce(orders, 0) AS total_orders, coalesce(value, 0) AS total_lifetime_value,
  CASE WHEN orders IS NULL THEN {_without} ELSE {segment("value", "orders")} END AS customer_segment FROM customer LEFT JOIN all_orders ON customer_id = c_custkey""")
@@ -480,9 +474,14 @@ add("full_load", "customer_id:i customer_name:s city:s total_orders:i total_life
  {segment("coalesce(value, 0)", "coalesce(orders, 0)")} AS customer_segment FROM
  (SELECT customer_id, name AS customer_name, city, row_number() OVER (PARTITION BY customer_id ORDER BY order_date DESC, order_item_id DESC) AS rn FROM cleaned) a
  LEFT JOIN (SELECT customer_id, count(DISTINCT order_id) AS orders, sum(net_revenue) AS value FROM dirtyfact GROUP BY 1) s ON s.customer_id = a.customer_id WHERE rn = 1""")
-add("dry_run_describe", "summary:s order_item_id:s quantity:s order_year:s city:s", " UNION ALL ".join(
-    f"SELECT '{f}' AS summary, " + ", ".join(f"CAST({f}({c}) AS VARCHAR) AS {c}" for c in ("order_item_id", "quantity", "order_year", "city")) + " FROM cleaned"
-    for f in ("count", "min", "max")))
+_NUMBERS = ("order_item_id order_id product_id quantity customer_id total_amount price dq_date_valid dq_order_before_signup dq_email_valid gross_revenue "
+            "net_revenue discount_amount discount_pct customer_tenure_days order_year order_month").split()
+_WORDS = "order_date name city email signup_date product_name category price_band etl_load_date etl_source_file".split()
+_DESCRIBED = [f"""SELECT '{c}' AS column_name, count(v) AS value_count, NULL AS unique_values, NULL AS top, NULL AS freq, CAST(avg(v) AS REAL) AS mean, CAST(stddev_samp(v) AS REAL) AS std,
+ min(v) AS min, quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.5) AS q50, quantile_cont(v, 0.75) AS q75, max(v) AS max FROM (SELECT CAST({c} AS DOUBLE) AS v FROM cleaned)""" for c in _NUMBERS]
+_DESCRIBED += [f"""SELECT '{c}', coalesce(sum(n), 0), nullif(count(*), 0), min(v) FILTER (n = most), max(n), NULL, NULL, NULL, NULL, NULL, NULL, NULL
+ FROM (SELECT *, max(n) OVER () AS most FROM (SELECT {"''" if c == "etl_source_file" else f"CAST({c} AS VARCHAR)"} AS v, count(*) AS n FROM cleaned WHERE {c} IS NOT NULL GROUP BY 1))""" for c in _WORDS]
+add("dry_run_describe", "column_name:s value_count:i unique_values:i top:s freq:i mean:d std:d min:d q25:d q50:d q75:d max:d", " UNION ALL ".join(_DESCRIBED))
 add("run_full_etl", "order_id:i order_date_key:i total_items:i total_quantity:i order_net_revenue:d distinct_products:i", """
  SELECT order_id, order_date_key, count(*) AS total_items, sum(quantity) AS total_quantity, sum(net_revenue) AS order_net_revenue, count(DISTINCT product_id) AS distinct_products
  FROM (SELECT d.*, coalesce(n_nationkey + 1, 0) AS place FROM dirtyfact d LEFT JOIN nation ON n_name = d.city) GROUP BY order_id, order_date_key, customer_id, place""")

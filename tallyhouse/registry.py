@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from tallyhouse.functions import expressions as X
 from tallyhouse.functions import rules
 from tallyhouse.operators import access, cleaning, constraints, dimensions, facts, quality, upsert
+from tallyhouse.operators.describe import describe_all
 from tallyhouse.operators.calendar import build_dim_date, calendar_between
 from tallyhouse.plans import customers, full_load, incremental, measures, places, products, revenue, views
 from tallyhouse.plans.star import Star, slice_star
@@ -190,7 +191,7 @@ def _staging_computed(spark, folder):
 @query("save_processed")
 def _save_processed(spark, folder):
     path = files.save_processed(cleaned(spark, folder), scratch(spark), "20010901_000000")
-    return files.read_columns(spark, path, ["order_item_id", "net_revenue", "price_band", "etl_load_id"])
+    return files.read_columns(spark, path)
 
 
 @query("truncate_reload_fact")
@@ -375,21 +376,6 @@ def _merge_counts(spark, folder):
     return upsert.merge_counts(upsert.upsert_products_changed(existing, incoming, NOW))
 
 
-def _refreshed(keep: bool) -> Query:
-    def run(spark, folder):
-        """All customers, statistics refreshed from facts after the split only."""
-        star = sample_star(spark, folder)
-        late = star.items.filter(F.col("order_date_key") > incremental.key_of(SPLIT))
-        done = dimensions.refresh_customer_stats(star.customers, late, NOW, keep, HIGH, REGULAR)
-        return done.select("customer_id", "total_orders", "total_lifetime_value", "customer_segment")
-
-    return run
-
-
-query("refresh_customer_stats_inner")(_refreshed(True))
-query("refresh_customer_stats")(_refreshed(False))
-
-
 def _refreshed_from_all(keep: bool) -> Query:
     def run(spark, folder):
         """All customers start as new, those that never ordered too; statistics refreshed from all facts."""
@@ -406,8 +392,9 @@ def _refreshed_from_all(keep: bool) -> Query:
     return run
 
 
-query("refresh_customer_stats_inner_all_facts")(_refreshed_from_all(True))
-query("refresh_customer_stats_all_facts")(_refreshed_from_all(False))
+for _name, _keep in (("refresh_customer_stats_inner", True), ("refresh_customer_stats", False)):
+    query(_name)(_refreshed_from_all(_keep))
+    query(f"{_name}_all_facts")(_refreshed_from_all(_keep))
 
 # --- facts -------------------------------------------------------------------
 
@@ -591,10 +578,11 @@ def _full_load(spark, folder):
 
 @query("dry_run_describe")
 def _dry_run_describe(spark, folder):
+    """All columns but the batch id, which differs from run to run; means and deviations to single precision."""
     wh = Warehouse(spark, scratch(spark))
     rows = full_load.run_pipeline(wh, dirty_source(spark, folder), dry_run=True, load_time=NOW)
-    shown = full_load.describe_clean(rows.select("order_item_id", "quantity", "order_year", "city"))
-    return shown.filter(F.col("summary").isin("count", "min", "max"))
+    shown = describe_all(materialize(rows.drop("etl_load_id")))
+    return shown.withColumns({c: F.col(c).cast("float") for c in ("mean", "std")})
 
 
 @query("run_full_etl")

@@ -36,3 +36,24 @@ def test_score(text, source):
     assert (row["total_issues"], row["score"], row["grade"]) == (9, 95.5, "A")
     many = source(*[{"order_item_id": str(i), "email": "bad"} for i in range(70)])
     assert quality.quality_score(many).first()["grade"] == "C"
+
+
+def test_describe_all(spark):
+    """Every column as pandas describes it, with ties, nulls, one value, none, and an empty frame."""
+    import pandas as pd
+
+    from tallyhouse.operators.describe import describe_all
+
+    rows = [(i, i % 4 * 1.5 if i % 5 else None, f"t{i % 3}" if i % 2 else None, None, "same", 7) for i in range(23)]
+    df = spark.createDataFrame(rows, "id long, amount double, label string, nothing string, one string, constant int")
+    got = {r["column_name"]: r for r in describe_all(df.repartition(3)).collect()}
+    frame = pd.DataFrame(rows, columns=df.columns)
+    for c in ("id", "amount", "constant"):
+        want, r = frame[c].dropna().astype(float).describe(), got[c]
+        for name, field in (("count", "value_count"), ("mean", "mean"), ("std", "std"), ("min", "min"), ("25%", "q25"), ("50%", "q50"), ("75%", "q75"), ("max", "max")):
+            assert abs(r[field] - want[name]) < 1e-9, (c, name)
+        assert r["unique_values"] is r["top"] is None
+    pick = lambda c: tuple(got[c][f] for f in ("value_count", "unique_values", "top", "freq", "mean"))
+    assert pick("label") == (11, 3, "t0", 4, None) or pick("label") == (11, 3, "t1", 4, None)
+    assert pick("one") == (23, 1, "same", 23, None) and pick("nothing") == (0, None, None, None, None)
+    assert {r["value_count"] for r in describe_all(df.limit(0)).collect()} == {0}

@@ -277,14 +277,12 @@ def test_delivery_rewrites_only_its_months(wh, source):
 
 def test_delivery_after_a_whole_load(spark, wh, source, tmp_path):
     """The index and the newest lines are built anew where a whole load changed the facts behind them."""
-    incremental.run_incremental(wh, source(*EARLY))
-    deliver(wh, source, [dict(EARLY[3], total_amount="5")])
     incremental.run_incremental(wh, source(*EARLY, *LATE))
     old = dict(row(900, "2022-01-01"), customer_id="1", name="Older Name")
     deliver(wh, source, [dict(LATE[2], order_date="2022-01-30"), old])
     once = Warehouse(spark, str(tmp_path / "once"))
     moved = dict(LATE[2], order_date="2022-01-30")
-    incremental.run_incremental(once, source(*EARLY[:3], dict(EARLY[3], total_amount="5"), *EARLY[4:], *LATE[:2], moved, *LATE[3:], old))
+    incremental.run_incremental(once, source(*EARLY, *LATE[:2], moved, *LATE[3:], old))
     for table in TABLES[:3]:
         keys = [c for c in ("customer_sk", "product_sk") if c in once.read(table).columns]
         assert content(wh, table, keys) == content(once, table, keys), table
