@@ -10,7 +10,7 @@ from tallyhouse.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 # Loads that write a warehouse of their own are tested in test_warehouse.
-SLOW = {"run_incremental", "rebuild_derived_facts", "truncate_reload_fact", "full_load", "run_full_etl", "load_raw", "raw_bulk_copy"}
+SLOW = {"run_incremental", "rebuild_derived_facts", "truncate_reload_fact", "full_load", "run_full_etl", "load_raw", "raw_bulk_copy", "quarantine", "stream_load"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="sample tables are not here")
 
