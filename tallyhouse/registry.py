@@ -83,7 +83,7 @@ def star_query(name: str, build: Callable[[Star], DataFrame]) -> None:
 # --- inputs ------------------------------------------------------------------
 
 def scratch(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/{uuid.uuid4()}"
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4()}"
 
 
 def clean_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -334,10 +334,18 @@ def _customer_segment(spark, folder):
     )
 
 
+# What a dimension is built from.
+_BUILT_FROM = {
+    "customer_id": ("order_id", "net_revenue", "name", "email", "city", "signup_date"),
+    "product_id": ("product_name", "category", "price"),
+}
+
+
 def _before_and_after(spark, folder, build, natural_key, surrogate_key):
-    lines = materialize(clean_lines(spark, folder))
+    needed = (natural_key, "order_item_id", "order_date", *_BUILT_FROM[natural_key])
+    lines = materialize(clean_lines(spark, folder).select(*needed))
     earlier = lines.filter(F.col("order_date") <= F.lit(SPLIT))
-    later =lines.filter(F.col("order_date") > F.lit(SPLIT))
+    later = lines.filter(F.col("order_date") > F.lit(SPLIT))
     existing = dimensions.assign_surrogate_keys(build(earlier), natural_key, surrogate_key)
     return existing, build(later)
 
@@ -415,7 +423,7 @@ def _fact_order_items_sql(spark, folder):
 @query("unmapped_keys")
 def _unmapped_keys(spark, folder):
     """Lines of the whole table against dimensions that end at the split."""
-    lines = materialize(clean_lines(spark, folder))
+    lines = materialize(clean_lines(spark, folder).select("customer_id", "product_id", "order_date"))
     earlier = lines.filter(F.col("order_date") <= F.lit(SPLIT))
     return facts.count_unmapped(lines, earlier.select("customer_id").distinct(), earlier.select("product_id").distinct())
 
