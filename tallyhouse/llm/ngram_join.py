@@ -2,11 +2,15 @@
 
 A text is the set of its runs of five words (one run of all words where there are fewer).  Texts with equal sets are
 one node.  Every node has a MinHash signature of ``TREES`` x ``DEPTH`` values.  A tree of the forest is the trie of its
-nodes' signatures, kept as sorted prefixes.  Two texts of Jaccard similarity s share a prefix of length d in one of L
-trees with probability 1 - (1 - s^d)^L, so prefixes start at full depth and are shortened until that reaches the target
-recall at the threshold (``prefix_length``).  Nodes below one prefix are candidates.
+nodes' signatures, kept as sorted prefixes: nodes below one prefix stand side by side.
 
-Candidates are gathered as components of the buckets' stars, so a bucket of n nodes costs n rows, not n^2.  A
+Matched prefixes start at full depth in all trees and lose one value in one tree after the other (``forest_depths``)
+until the target recall is reached in two ways: by the links of a sample of texts to all texts, found exactly in the pass
+that makes the signatures (``Gauge``), and by the chance that a pair just at the threshold shares a matched prefix.  The
+second holds where the sample has few links or none.  Sample and chance only set how far prefixes are shortened.
+
+Nodes that share a matched prefix are candidates.  They are gathered as components of the runs' stars, so a run of n
+nodes costs n rows, not n^2; a run that is longer than a range partition is joined to its next part by one edge.  A
 component is dealt into blocks of about ``BLOCK`` nodes by hash; every pair of blocks is verified in one task on the
 exact sets of shingle hashes (64 bit).  Only counts of links and spanning links leave the task.  A component of any
 size is spread over its pairs of blocks; no pair is dropped.
@@ -22,30 +26,46 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.common import aside, components, forget, slices, stored, with_unique_id
+from tallyhouse.session import literal_rows
 
 WORDS = 5
 THRESHOLD = 0.8
 TREES, DEPTH = 16, 8
-RECALL = 0.999
+RECALL = 0.9997
+GAUGE_TEXTS, GAUGE_BYTES = 512, 32 << 10  # texts of the recall sample, and the longest of them
 BLOCK = 192
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # 2^64 divided by the golden ratio
 
 
-def prefix_length(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
-    """The longest prefix that finds a pair at the threshold with the target probability; 1 at least."""
-    length = depth
-    while length > 1 and 1 - (1 - threshold**length) ** trees < recall:
-        length -= 1
-    return length
+def forest_depths(step: int, trees: int = TREES, depth: int = DEPTH) -> list[int]:
+    """Length of the matched prefix in each tree after so many shortenings, one tree after the other."""
+    return [max(1, depth - (step - t + trees - 1) // trees) for t in range(trees)]
+
+
+def chance(similarity: float, depths: Sequence[int]) -> float:
+    """Probability that a pair of this similarity shares a matched prefix."""
+    return 1 - math.prod(1 - similarity**d for d in depths)
+
+
+def shorten(found: dict[int, int], threshold: float = THRESHOLD, recall: float = RECALL) -> list[int]:
+    """The first depths that reach the recall; ``found`` counts the sample's links by the step that finds them."""
+    links, last = sum(found.values()), TREES * (DEPTH - 1)
+    for step in range(last):
+        depths = forest_depths(step)
+        if sum(n for k, n in found.items() if k <= step) >= recall * links and chance(threshold, depths) >= recall:
+            return depths
+    return forest_depths(last)
 
 
 def _scatter(x: np.ndarray) -> np.ndarray:
@@ -92,46 +112,130 @@ class MinHash:
         return (best >> np.uint64(32)).astype("<u4")
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """(_doc, doc_id, a, b, n, sig): 128-bit name and size of the shingle set, and its signature."""
+class Gauge:
+    """Exact links of any text to the texts of a sample, as the shortening step at which the forest finds each."""
+
+    def __init__(self, texts: Sequence[str], threshold: float):
+        shingler, minhash = Shingler(), MinHash()
+        sets = {s.tobytes(): s for s in map(shingler, texts) if len(s)}
+        self.sets, self.threshold = [sets[name] for name in sorted(sets)], threshold
+        self.sizes = np.array([len(s) for s in self.sets], np.int64)
+        self.trees = np.array([minhash(s) for s in self.sets], "<u4").reshape(-1, TREES, DEPTH)
+        values = np.concatenate([*self.sets, np.empty(0, np.uint64)])
+        order = np.argsort(values, kind="stable")
+        self.owners = np.repeat(np.arange(len(self.sets)), self.sizes)[order]
+        self.values, self.starts = np.unique(values[order], return_index=True)
+        self.starts = np.append(self.starts, len(values))
+        del self.sets
+
+    def __call__(self, shingles: np.ndarray, signature: np.ndarray) -> list[int]:
+        at = np.searchsorted(self.values, shingles)
+        inside = at < len(self.values)
+        at = at[inside][self.values[at[inside]] == shingles[inside]]
+        if not len(at):
+            return []
+        counts = self.starts[at + 1] - self.starts[at]
+        places = np.repeat(self.starts[at] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        both = np.bincount(self.owners[places], minlength=len(self.sizes))
+        union = self.sizes + len(shingles) - both
+        like = np.flatnonzero((both >= self.threshold * union - 1e-9) & (both < union))
+        if not len(like):
+            return []
+        shared = np.cumprod(self.trees[like] == signature.reshape(TREES, DEPTH), 2).sum(2)
+        steps = np.where(shared == DEPTH, 0, (DEPTH - 1 - shared) * TREES + np.arange(TREES) + 1)
+        return np.where(shared == 0, TREES * DEPTH, steps).min(1).tolist()
+
+
+def gauge_of(docs: DataFrame, threshold: float = THRESHOLD, texts: int = GAUGE_TEXTS) -> Gauge:
+    """A gauge of up to ``texts`` documents by a hash of their id, of at most ``GAUGE_BYTES`` each."""
+    chosen = docs.select("_doc").orderBy(F.xxhash64("_doc"), "_doc").limit(texts)
+    short = docs.select("_doc", "text").filter(F.octet_length("text") <= GAUGE_BYTES)
+    return Gauge([r["text"] for r in short.join(F.broadcast(chosen), "_doc").select("text").collect()], threshold)
+
+
+def signatures(docs: DataFrame, gauge: Gauge) -> DataFrame:
+    """(_doc, doc_id, a, b, n, sig, steps): name and size of the shingle set, signature, links to the gauge's texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, minhash = Shingler(), MinHash()
         for batch in slices(batches, "text"):
-            a, b, n, sig = [], [], [], []
+            a, b, n, sig, steps = [], [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingler(text or "")
                 name = xxhash.xxh3_128_digest(s.tobytes())
                 a.append(int.from_bytes(name[:8], "little", signed=True))
                 b.append(int.from_bytes(name[8:], "little", signed=True))
                 n.append(len(s))
-                sig.append(minhash(s).tobytes() if len(s) else None)
+                values = minhash(s) if len(s) else None
+                sig.append(None if values is None else values.tobytes())
+                steps.append([] if values is None else gauge(s, values))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_doc"), batch.column("doc_id"), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64()), pa.array(sig, pa.binary())],
-                ["_doc", "doc_id", "a", "b", "n", "sig"],
+                [batch.column("_doc"), batch.column("doc_id"), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64()), pa.array(sig, pa.binary()), pa.array(steps, pa.list_(pa.int32()))],
+                ["_doc", "doc_id", "a", "b", "n", "sig", "steps"],
             )
 
     rows = docs.select("_doc", F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "_doc long, doc_id long, a long, b long, n long, sig binary")
+    return rows.mapInArrow(run, "_doc long, doc_id long, a long, b long, n long, sig binary, steps array<int>")
 
 
-def _candidate_edges(nodes: DataFrame, length: int) -> DataFrame:
-    """(node, low): stars of the nodes that share a prefix of ``length`` in a tree, around the smallest one."""
+def _alike(tree: np.ndarray, prefix: np.ndarray, depths: np.ndarray) -> np.ndarray:
+    """Whether each row but the first shares its tree's matched prefix with the row before it."""
+    shared = np.cumprod(prefix[1:] == prefix[:-1], 1).sum(1)
+    return (tree[1:] == tree[:-1]) & (shared >= depths[tree[1:]])
+
+
+def _candidate_edges(nodes: DataFrame, depths: Sequence[int]) -> DataFrame:
+    """(node, low): stars of the nodes that share a matched prefix in a tree.
+
+    The tries are one range sort by (tree, prefix, node), so a crowded prefix is spread over tasks.  A task joins the
+    nodes of a run to the smallest one it holds; its first and last run are handed over (two rows a task) and joined to
+    their neighbours.
+    """
+    width, lengths = max(depths), np.array(depths)
+    spelled = F.expr(f"transform(sequence(0, {TREES - 1}), t -> struct(t AS tree, substring(sig, t * {4 * DEPTH} + 1, {4 * width}) AS prefix))")
+    order = ["tree", "prefix", "node"]
+    tries = nodes.select("node", F.inline(spelled)).repartitionByRange(*order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(end, node, low, tree, prefix):
+            task = TaskContext.get().partitionId()
+            n = len(node)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([end] * n, pa.int32()), pa.array(node, pa.int64()), pa.array(low, pa.int64()), pa.array([task] * n, pa.int32()), pa.array(tree, pa.int32()), pa.array(prefix, pa.binary())],
+                ["end", "node", "low", "task", "tree", "prefix"],
+            )
+
+        last = None  # tree, prefix and smallest node of the run that is open
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u4").reshape(batch.num_rows, TREES, DEPTH)
-            key = np.broadcast_to(np.arange(TREES, dtype=np.uint64), sig.shape[:2])
-            for k in range(length):
-                key = _scatter(key * _MIX + sig[:, :, k])
-            node = np.repeat(batch.column("node").to_numpy(), TREES)
-            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(node)], ["key", "node"])
-
-    prefixes = stored(nodes.select("node", "sig").mapInArrow(run, "key long, node long"))
-    shared = prefixes.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    return prefixes.join(shared.select("key", "low"), "key").filter("node > low").select("node", "low").distinct()
+            tree, node = batch.column("tree").to_numpy(), batch.column("node").to_numpy()
+            prefix = np.frombuffer(b"".join(batch.column("prefix").to_pylist()), "<u4").reshape(-1, width)
+            starts = np.concatenate([[True], ~_alike(tree, prefix, lengths)])
+            low = np.minimum.reduceat(node, np.flatnonzero(starts))
+            if last is None:
+                yield rows(0, node[:1], low[:1], tree[:1], [prefix[0].tobytes()])
+            elif _alike(np.array([last[0], tree[0]]), np.stack([last[1], prefix[0]]), lengths)[0]:
+                yield rows(-1, [last[2]], low[:1], [None], [None])
+                low[0] = min(low[0], last[2])
+            smallest = low[np.cumsum(starts) - 1]
+            joined = node != smallest
+            yield rows(-1, node[joined], smallest[joined], [None] * int(joined.sum()), [None] * int(joined.sum()))
+            last = (tree[-1], prefix[-1].copy(), low[-1])
+        if last is not None:
+            yield rows(1, [last[2]], [last[2]], [last[0]], [last[1].tobytes()])
+
+    found = stored(tries.mapInArrow(run, "end int, node long, low long, task int, tree int, prefix binary"))
+    # At most two rows a task, in the order of the ranges: first and last run of every task that had rows.
+    ends = sorted(found.filter("end >= 0").drop("node").collect(), key=lambda r: (r["task"], r["end"]))
+    over = []
+    for one, two in zip(ends[1::2], ends[2::2]):
+        tree = np.array([one["tree"], two["tree"]])
+        prefix = np.frombuffer(bytes(one["prefix"]) + bytes(two["prefix"]), "<u4").reshape(2, width)
+        if one["low"] != two["low"] and _alike(tree, prefix, lengths)[0]:
+            over.append((two["low"], one["low"]))
+    edges = found.filter("end < 0 AND node <> low").select("node", "low")
+    return edges.union(literal_rows(nodes.sparkSession, over, "node long, low long")) if over else edges
 
 
 def _verify(threshold: float):
@@ -180,11 +284,14 @@ def _verify(threshold: float):
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """Class, copies and links of every row of ``docs`` (doc_id, text); ``_doc`` is kept for joining back."""
     docs = docs if "_doc" in docs.columns else with_unique_id(docs.select("doc_id", "text"))
-    rows = stored(signatures(docs))
+    rows = stored(signatures(docs, gauge_of(docs, threshold)))
     nodes = rows.filter("n > 0").groupBy("a", "b").agg(F.min("_doc").alias("node"), F.min("doc_id").alias("set_id"), F.count(F.lit(1)).alias("n_copies"))
     nodes = stored(nodes)
-    own = rows.join(nodes.select("node"), F.col("_doc") == F.col("node")).select("node", "sig")
-    edges = stored(_candidate_edges(own, prefix_length(threshold, recall=recall)))
+    own = rows.join(nodes.select("node"), F.col("_doc") == F.col("node"))
+    # One row for each of the few shortening steps.
+    found = own.select(F.explode("steps").alias("step")).groupBy("step").count().collect()
+    depths = shorten({r["step"]: r["count"] for r in found}, threshold, recall)
+    edges = _candidate_edges(own.select("node", "sig"), depths)
     groups = components(edges, "node", "low")
 
     sizes = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))

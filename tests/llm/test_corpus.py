@@ -199,10 +199,88 @@ def test_one_of_each_class_stays(docs, texts):
     assert ngram_join.one_of_each(docs.limit(0)).count() == 0
 
 
-def test_prefixes_reach_the_target():
+def test_prefixes_are_shortened_tree_by_tree():
+    assert ngram_join.forest_depths(0) == [8] * 16 and ngram_join.forest_depths(17) == [6] + [7] * 15
     for recall in (0.9, 0.99, 0.999):
-        d = ngram_join.prefix_length(0.8, 16, 8, recall)
-        assert 1 - (1 - 0.8**d) ** 16 >= recall and (d == 8 or 1 - (1 - 0.8 ** (d + 1)) ** 16 < recall)
+        depths = ngram_join.shorten({}, 0.8, recall)
+        steps = [s for s in range(113) if ngram_join.forest_depths(s) == depths]
+        assert ngram_join.chance(0.8, depths) >= recall
+        assert steps[0] == 0 or ngram_join.chance(0.8, ngram_join.forest_depths(steps[0] - 1)) < recall
+    assert ngram_join.shorten({0: 50}, 0.8, 0.99) == ngram_join.shorten({}, 0.8, 0.99)
+    assert ngram_join.shorten({0: 50, 90: 50}, 0.8, 0.99) == ngram_join.forest_depths(90)
+    assert ngram_join.shorten({128: 1}, 0.8, 0.99) == [1] * 16  # a link that shares no value at all
+
+
+def near_copies(rng, n, length=120):
+    """Pairs of texts, the second with words changed so that similarities lie on both sides of the threshold."""
+    out = []
+    for _ in range(n):
+        one = words(rng, length, 9000).split()
+        two = list(one)
+        for k in rng.sample(range(length), rng.randint(1, 4)):
+            two[k] = "changed"
+        out += [" ".join(one), " ".join(two)]
+    return out
+
+
+def test_gauge_finds_exact_links_and_their_step():
+    rows = near_copies(random.Random(31), 40)
+    gauge = ngram_join.Gauge(rows[::2], 0.8)
+    shingler, minhash = ngram_join.Shingler(), ngram_join.MinHash()
+    sets = [set(shingler(t).tolist()) for t in rows]
+    for i, text in enumerate(rows):
+        s = shingler(text)
+        got = gauge(s, minhash(s))
+        want = []
+        for j in range(0, len(rows), 2):
+            if sets[i] != sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                pair = [minhash(shingler(rows[k])).reshape(16, 8) for k in (i, j)]
+                hits = [s for s in range(113) if any((pair[0][t, :d] == pair[1][t, :d]).all() for t, d in enumerate(ngram_join.forest_depths(s)))]
+                want.append(hits[0])
+        assert sorted(got) == sorted(want)
+    empty = ngram_join.Gauge([], 0.8)
+    assert empty(shingler(rows[0]), minhash(shingler(rows[0]))) == []
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_tries_give_the_groups_of_equal_prefixes(spark, partitions):
+    """Runs that go over several range partitions and batches end in one component, as plain prefix groups do."""
+    rng = np.random.default_rng(5)
+    depths = ngram_join.forest_depths(105)
+    sig = rng.integers(0, 40, (400, 16, 8)).astype("<u4")
+    sig[:150, 3] = 7  # one crowded prefix
+    rows = [(i, bytearray(x.tobytes())) for i, x in enumerate(sig)]
+    nodes = spark.createDataFrame(rows, "node long, sig binary").repartition(3)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(before, (str(partitions), "37", "false")):
+            spark.conf.set(k, v)
+        edges = [(r["node"], r["low"]) for r in ngram_join._candidate_edges(nodes, depths).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    want = {}
+    for i, x in enumerate(sig):
+        for t, d in enumerate(depths):
+            want.setdefault((t, x[t, :d].tobytes()), []).append(i)
+
+    def classes(pairs):
+        root = list(range(len(sig)))
+        for a, b in pairs:
+            old, new = root[a], root[b]
+            root = [new if r == old else r for r in root]
+        return {frozenset(i for i, r in enumerate(root) if r == k) for k in set(root)}
+
+    assert classes(edges) == classes([(g[0], j) for g in want.values() for j in g[1:]])
+    assert len(edges) < 16 * len(sig) + 200
+
+
+def test_links_on_both_sides_of_the_threshold(spark):
+    rows = list(enumerate(near_copies(random.Random(32), 150)))
+    got = ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    plain = plain_near(rows)
+    assert 100 < sum(links for _, links, _ in plain) < 300
+    assert {r["doc_id"]: r["n_links"] for r in got} == {i: links for (i, _), (_, links, _) in zip(rows, plain)}
 
 
 # --- 4 suffix dedup
