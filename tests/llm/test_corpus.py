@@ -127,10 +127,10 @@ def test_toxicity_counterfactual(spark):
     hashed = WordHash(toxicity.BUCKETS)
     sets = [toxicity.distinct_words(t) for _, t, _ in rows]
     codes = [toxicity.codes_of(s, hashed) for s in sets]
-    twins = [None if (t := toxicity.swapped(s, toxicity.IDENTITY_TERMS)) is None else toxicity.codes_of(t, hashed) for s in sets]
+    pairs = [(p["a"], p["b"], p["weight"] / toxicity.UNIT) for _, t, _ in rows for p in toxicity.pairs_of(t, toxicity.IDENTITY_TERMS, hashed) if p["named"]]
     y = np.array([label for _, _, label in rows], float)
     neutral = [toxicity.codes_of(toxicity.distinct_words(f"a {g} neighbour came"), hashed) for g in ("muslim", "christian")]
-    loose, held = toxicity.fit(codes, twins, y, 0.0), toxicity.fit(codes, twins, y)
+    loose, held = toxicity.fit(codes, pairs, y, 0.0), toxicity.fit(codes, pairs, y)
     gap = lambda m: abs(np.subtract(*m.margin(neutral)))
     assert gap(held) < 0.4 * gap(loose)
     assert held.score(neutral)[0] < loose.score(neutral)[0]
@@ -153,6 +153,50 @@ def test_toxicity_query_rows(spark, docs, texts):
     assert toxicity.score_toxicity(docs.limit(0), model).count() == 0
 
 
+def test_counterfactual_sentences():
+    terms = (("muslim", "hindu", "jewish"), ("blind", "deaf"))
+    named, inserted = toxicity.counterfactuals("A hindu came. The jewish, the hinduism!\n\nNobody here? ...", terms)
+    plain = Counter()
+    for words_, term, other in [
+        ({"a", "hindu", "came"}, "hindu", "muslim"),
+        ({"a", "hindu", "came"}, "hindu", "jewish"),
+        ({"the", "jewish", "hinduism"}, "jewish", "muslim"),
+        ({"the", "jewish", "hinduism"}, "jewish", "hindu"),
+    ]:
+        one, two = toxicity.keys_of(words_), toxicity.keys_of(words_ - {term} | {other})
+        plain[tuple(sorted(one - two)), tuple(sorted(two - one))] += 1
+    assert named == plain
+    assert sum(inserted.values()) == 1 and all(a and b and a != b for a, b in inserted)
+    for text in ("", "...", "\n"):
+        assert toxicity.counterfactuals(text, terms) == (Counter(), Counter())
+    assert toxicity.counterfactuals("a word", ()) == (Counter(), Counter())
+    weights = [p["weight"] for p in toxicity.pairs_of("A hindu. A jewish. A deaf. Nobody. None", terms, WordHash(toxicity.BUCKETS)) if p["named"]]
+    assert 0 <= toxicity.UNIT - sum(weights) < len(weights)
+
+
+def test_toxicity_equals_plain_words(spark):
+    """The features chosen on Spark give the model of all features, and scores are sums over plain word sets."""
+    rows = [(i, t + ". And so on", y) for i, t, y in toxic_rows(random.Random(8), 500)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in rows], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, labels, F.lit(True))
+    hashed = WordHash(toxicity.BUCKETS)
+    counted = Counter()
+    for _, t, _ in rows:
+        for p in toxicity.pairs_of(t, toxicity.IDENTITY_TERMS, hashed):
+            counted[tuple(p["a"]), tuple(p["b"])] += p["weight"]
+    pairs = [(np.array(a, np.int32), np.array(b, np.int32), n / toxicity.UNIT) for (a, b), n in sorted(counted.items())]
+    sets = [toxicity.codes_of(toxicity.distinct_words(t), hashed) for _, t, _ in rows]
+    whole = toxicity.fit(sets, pairs, np.array([y for _, _, y in rows], float))
+    assert np.allclose(model.weights, whole.weights, atol=1e-6) and np.isclose(model.bias, whole.bias)
+    assert model.inserted >= 500 and model.named == 5 * sum("muslim" in t for _, t, _ in rows)
+    for r in toxicity.score_toxicity(docs, model).collect():
+        seen = set(re.findall(r"[^\W\d_]+", rows[r["doc_id"]][1].lower()))
+        seen |= {"^" + w[:4] for w in seen if len(w) > 4}
+        margin = model.bias + sum(float(model.weights[k]) for k in {zlib.crc32(w.encode()) % toxicity.BUCKETS for w in seen})
+        assert abs(r["score"] - 1 / (1 + np.exp(-margin))) < 1e-6
+
+
 # --- 3 n-gram join
 
 
