@@ -720,3 +720,63 @@ def test_pipeline_stages(spark, tmp_path):
             assert docs.columns == columns, name
             assert docs.join(before, "doc_id", "left_anti").isEmpty()
     assert queries()["pipeline"](spark, folder).count() == docs.count()
+
+
+def test_pipeline_equals_plain_stages(spark, tmp_path):
+    """The stages behind the classifier against plain versions in a row, on all documents that it keeps."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    out = []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        stage(spark, docs, folder).write.parquet(f"{tmp_path}/{k}")
+        docs = spark.read.parquet(f"{tmp_path}/{k}")
+        out.append(docs.collect())
+    first, pages, one_each, unrepeated, packed = out
+
+    assert 0 < len(first) < spark.read.parquet(f"{folder}/documents.parquet").count()
+    plain = plain_lines([(r["source"], r["text"]) for r in first], line_dedup.RATIO, line_dedup.MIN_PAGES)
+    assert Counter((r["source"], r["text"]) for r in pages) == sum((Counter({(s, t): n}) for (s, t, _), n in plain.items()), Counter())
+
+    rows = [(r["doc_id"], r["text"]) for r in pages]
+    classes = {members for _, _, members in plain_near(rows)}
+    assert {r["doc_id"] for r in one_each} == {min(rows[i][0] for i in members) for members in classes}
+    assert len(one_each) == len(classes) < len(pages)
+
+    seen, want = set(), {}
+    for r in sorted(one_each, key=lambda r: r["doc_id"]):
+        data = (r["text"] or "").encode()
+        gone = np.zeros(len(data), bool)
+        for p in range(len(data) - 99):
+            s = data[p : p + 100]
+            if s in seen:
+                gone[p : p + 100] = True
+            seen.add(s)
+        at, kept = 0, []
+        for c in r["text"] or "":
+            size = len(c.encode())
+            if not gone[at : at + size].any():
+                kept.append(c)
+            at += size
+        want[r["doc_id"]] = "".join(kept)
+    assert {r["doc_id"]: r["text"] or "" for r in unrepeated} == want
+    assert want != {r["doc_id"]: r["text"] or "" for r in one_each}
+
+    tokenizer = Tokenizer.from_file(str(TOKENIZER))
+    windows, pieces = {}, {}
+    for r in packed:
+        windows.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+        pieces.setdefault(r["doc_id"], []).append(r)
+    for parts in windows.values():
+        ends = np.cumsum([n for _, n in sorted(parts)])
+        assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 1024
+    assert pieces.keys() == want.keys()
+    for doc_id, text in want.items():
+        ids, at = np.array(tokenizer.encode(text, add_special_tokens=False).ids + [0], "<u4"), 0
+        for r in sorted(pieces[doc_id], key=lambda r: r["start"]):
+            assert r["start"] == at and r["doc_tokens"] == len(ids)
+            assert r["ids_crc32"] == zlib.crc32(ids[at : at + r["length"]].tobytes())
+            at += r["length"]
+        assert at == len(ids)
