@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,10 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import rules
 from tallyhouse.functions.expressions import null_if_token
-from tallyhouse.schemas import AUDIT_COLUMNS, SOURCE_COLUMNS, SOURCE_SCHEMA, STAGING_COLUMNS, STAGING_RENAMES
+from tallyhouse.schemas import AUDIT_COLUMNS, SOURCE_COLUMNS, STAGING_COLUMNS, STAGING_RENAMES
+from tallyhouse.sources.records import files_with_breaks, rows_of_records
 
-# The dialect of landing files: comma, newline, double quotes, header, UTF-8, line breaks inside quotes.  Files without
-# such line breaks may be read with multiLine "false", which lets Spark split them.
+# The dialect of landing files: comma, newline, double quotes, header, UTF-8, line breaks inside quotes.
 CSV_OPTIONS = {
     "multiLine": "true",
     "header": "true",
@@ -26,31 +27,66 @@ CSV_OPTIONS = {
 }
 
 
+def bytes_of(size: str) -> int:
+    """A size setting such as ``256m`` or ``134217728b`` in bytes."""
+    number, unit = re.fullmatch(r"(\d+)([kmgt]?)b?", size.strip().lower()).groups()
+    return int(number) << (10 * " kmgt".index(unit or " "))
+
+
+def read_rows(spark: SparkSession, path: str | Sequence[str], names: Sequence[str], split_above: int | None = None) -> DataFrame:
+    """Rows of text columns under the given names, which every file's header must hold.
+
+    Files up to ``split_above`` bytes (by default the size of a split) are one task each.  Larger ones are looked
+    through for quoted values left open at a line's end: files without any are split by Spark, files with line breaks
+    inside quotes are cut into records by many tasks.  Only a file without a newline stays in one piece.
+    """
+    path = [path] if isinstance(path, str) else list(path)
+    if split_above is None:
+        split_above = bytes_of(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    schema = ", ".join(f"`{name}` string" for name in names)
+
+    def read(paths, multi_line):
+        options = {**CSV_OPTIONS, "multiLine": multi_line}
+        return spark.read.options(**options, enforceSchema="false").schema(schema).csv(paths)
+
+    listed = spark.read.format("binaryFile").load(path).select("path", "length")  # contents are not read
+    large = sorted(r["path"] for r in listed.filter(F.col("length") > split_above).collect())
+    if not large:
+        return read(path, "true")
+    broken = files_with_breaks(spark, large)
+    small = sorted(r["path"] for r in listed.filter(F.col("length") <= split_above).collect())
+    whole = sorted(set(large) - set(broken))
+    parts = [read(small, "true")] if small else []
+    parts += [read(whole, "false")] if whole else []
+    parts += [rows_of_records(spark, broken, names, CSV_OPTIONS)] if broken else []
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    return rows
+
+
 def extract_csv(
     spark: SparkSession,
     path: str | Sequence[str],
     null_tokens: Sequence[str] = rules.CSV_NULL_TOKENS,
-    multi_line: bool = True,
+    split_above: int | None = None,
 ) -> DataFrame:
     """Every column as text, missing-value texts as null.
 
     The header gives the names (cleaning standardises them); types are never
-    inferred.  Spark compares the header of every file with the first one's and
-    fails by name where they differ, so no file is read by another's positions.
+    inferred.  The header of every file is compared with the first one's, and
+    reading fails by name where they differ, so no file is read by another's positions.
     """
     path = [path] if isinstance(path, str) else list(path)
-    dialect = {**CSV_OPTIONS, "multiLine": str(multi_line).lower()}
-    header = spark.read.options(**{**dialect, "header": "false"}).csv(path).first()
+    header = spark.read.options(**{**CSV_OPTIONS, "header": "false"}).csv(path).first()
     names = list(header) if header else list(SOURCE_COLUMNS)
-    schema = ", ".join(f"`{name}` string" for name in names)
-    rows = spark.read.options(**dialect, enforceSchema="false").schema(schema).csv(path)
+    rows = read_rows(spark, path, names, split_above)
     return rows.select(*[null_if_token(F.col(f"`{c}`"), null_tokens).alias(c) for c in names])
 
 
 def extract_fixed(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Source files known to have the standard 14 columns; no header look-up."""
-    path = [path] if isinstance(path, str) else list(path)
-    rows = spark.read.options(**CSV_OPTIONS, enforceSchema="false").schema(SOURCE_SCHEMA).csv(path)
+    rows = read_rows(spark, path, SOURCE_COLUMNS)
     return rows.select(*[null_if_token(c, rules.CSV_NULL_TOKENS).alias(c) for c in SOURCE_COLUMNS])
 
 
@@ -60,8 +96,7 @@ def write_csv(df: DataFrame, path: str, quote_all: bool = False) -> None:
 
 def landing_copy(spark: SparkSession, source: str, target: str) -> None:
     """Delimited file to delimited file with every text quoted."""
-    rows = spark.read.options(**CSV_OPTIONS, enforceSchema="false").schema(SOURCE_SCHEMA).csv(source)
-    write_csv(rows, target, quote_all=True)
+    write_csv(read_rows(spark, source, SOURCE_COLUMNS), target, quote_all=True)
 
 
 def with_audit(df: DataFrame, load_id: str, source_file: str, load_time=None) -> DataFrame:
@@ -92,7 +127,7 @@ def load_raw(df: DataFrame, path: str) -> None:
 def raw_bulk_copy(spark: SparkSession, landing: str, path: str, load_id: str, partitions: int | None = None) -> None:
     """Landing files into the raw layer in parallel.
 
-    File splits set the parallelism; ``partitions`` overrides it.
+    Files and the splits of large ones set the parallelism; ``partitions`` overrides it.
     """
     rows = with_audit(extract_fixed(spark, landing), load_id, landing)
     load_raw(rows.repartition(partitions) if partitions else rows, path)
