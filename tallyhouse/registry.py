@@ -262,7 +262,8 @@ def _profile_value_counts(spark, folder):
 
 @query("clean_price_median")
 def _clean_price_median(spark, folder):
-    return cleaning.repair_price(cleaning.typed(dirty_source(spark, folder))).select("order_item_id", "price")
+    rows = materialize(cleaning.typed(dirty_source(spark, folder)).select("order_item_id", "price"))  # read twice
+    return cleaning.repair_price(rows)
 
 
 for _name, _columns in (

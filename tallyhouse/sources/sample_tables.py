@@ -35,6 +35,9 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     and supplier.  It is plain arithmetic: a row number per order would sort a
     very large order in one task.  The joins carry no hints: sizes decide, and
     AQE splits skewed join partitions.
+
+    Customers and nations meet the orders, a quarter of the rows, so lines are
+    moved twice, by part and last by order: lines of an order come out together.
     """
     line = read_table(spark, folder, "lineitem").select(
         "l_orderkey",
@@ -59,11 +62,14 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
 
     unit_cents = F.expr("(2 * cents + quantity) div (2 * quantity)")
     paid_cents = F.expr("(cents * (100 - discount) + 50) div 100")
-    return (
-        line.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+    ordered = (
+        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .select("o_orderkey", "o_custkey", "order_date", "channel_sk", "c_name", "n_name")
+    )
+    return (
+        line.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        .join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             "order_item_id",
             F.col("l_orderkey").alias("order_id"),
