@@ -1,10 +1,17 @@
 """How often rows are computed, moved and stored, on small tables of its own."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from tallyhouse.operators import facts
+from tallyhouse.operators.dimensions import newest_rows
 from tallyhouse.registry import QUERIES
+from tallyhouse.schemas import SOURCE_COLUMNS
+from tallyhouse.session import materialize
+from tallyhouse.sources import files
 from tallyhouse.sources.sample_tables import order_lines
 
 
@@ -51,3 +58,71 @@ def test_price_median_computes_typed_rows_once(spark, tables):
     found = QUERIES["clean_price_median"](spark, tables)
     assert "l_extendedprice" not in plan(found)
     assert {r["order_item_id"] for r in found.collect()} <= {r["order_item_id"] for r in order_lines(spark, tables).collect()}
+
+
+def shuffle_files(spark):
+    """Shuffle files in the session's scratch folders."""
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(blocks.apply(i).getName().startswith("shuffle_") for i in range(blocks.size()))
+
+
+def test_stored_tables_leave_no_shuffles(spark, tables):
+    """Loads keep the shuffles of one step, not of all steps until the driver collects garbage."""
+    before = shuffle_files(spark)
+    materialize(order_lines(spark, tables).groupBy("customer_id").count())
+    assert shuffle_files(spark) <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def exchanges(df):
+    """Shuffles by a key in the plan before it runs."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_facts_move_lines_once(spark, tables):
+    keys = "order_date_key int, customer_sk long, product_sk long, geography_sk long, order_id long, quantity int"
+    money = ", ".join(f"{c} decimal(18,2)" for c in ("gross_revenue", "net_revenue", "discount_amount", "unit_price"))
+    rows = [
+        (19990103, 1, 5, 0, 10, 2, *map(Decimal, ("8", "7", "1", "4"))),
+        (19990104, 1, 5, 0, 10, 1, *map(Decimal, ("4", "4", "0", "4"))),
+        (19990105, 2, 5, 0, 11, 1, *map(Decimal, ("5", "5", "0", "5"))),
+        (19990105, None, 5, 0, None, 1, Decimal(5), Decimal(5), Decimal(0), None),
+        (19990205, 2, 5, 0, 10, 1, *map(Decimal, ("5", "5", "0", "5"))),
+        (19990205, 2, 6, 0, 10, 1, *map(Decimal, ("5", "5", "0", "5"))),
+    ]
+    items = spark.createDataFrame(rows, f"{keys}, {money}")
+    monthly = facts.monthly_product_base(items)
+    found = {(r.year_month_key, r.product_sk): (r.total_units_sold, r.total_orders, r.total_customers, r.avg_unit_price) for r in monthly.collect()}
+    assert found == {
+        ("1999-01", 5): (5, 2, 2, Decimal("4.33")),
+        ("1999-02", 5): (1, 1, 1, Decimal("5.00")),
+        ("1999-02", 6): (1, 1, 1, Decimal("5.00")),
+    }
+    orders = facts.build_fact_order_summary(items)
+    assert sorted((r.order_id or 0, r.order_date_key, r.total_items, r.distinct_products) for r in orders.collect()) == [
+        (0, 19990105, 1, 1), (10, 19990103, 1, 1), (10, 19990104, 1, 1), (10, 19990205, 2, 2), (11, 19990105, 1, 1)
+    ]
+    assert "Expand" not in plan(monthly)
+    assert exchanges(facts.monthly_product_base(items)) == 1 and exchanges(facts.build_fact_order_summary(items)) == 1
+
+
+def test_newest_lines_are_found_without_a_join(spark, tables):
+    lines = order_lines(spark, tables)
+    newest = newest_rows(lines, "product_id", ("product_name", "price"))
+    assert "Join" not in plan(newest_rows(materialize(lines), "product_id", ("product_name", "price")))
+    wanted = {}
+    for r in sorted(lines.collect(), key=lambda r: (r.order_date, r.order_item_id)):
+        wanted[r.product_id] = (r.product_name, r.price)
+    assert {r.product_id: (r.product_name, r.price) for r in newest.collect()} == wanted
+
+
+def test_landing_copy_may_be_compressed(spark, tables, tmp_path):
+    """A copy of compressed files holds the same rows, line breaks and quotes included, and less than half the bytes."""
+    rows = order_lines(spark, tables).select(*[F.col(c).cast("string").alias(c) for c in SOURCE_COLUMNS])
+    rows = rows.withColumn("name", F.lit('two\nlines, "quoted"'))
+    files.write_csv(rows, f"{tmp_path}/in", compression="gzip")
+    files.landing_copy(spark, f"{tmp_path}/in", f"{tmp_path}/out", compression="gzip")
+    assert sorted(files.extract_fixed(spark, f"{tmp_path}/out").collect()) == sorted(rows.collect())
+    files.landing_copy(spark, f"{tmp_path}/in", f"{tmp_path}/plain")
+    assert files.extract_fixed(spark, f"{tmp_path}/plain").count() == rows.count()
+    assert list((tmp_path / "out").glob("*.csv.gz")) and not list((tmp_path / "plain").glob("*.csv.gz"))
