@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,21 +48,31 @@ def build_fact_order_items(
     default_channel: int = rules.DEFAULT_CHANNEL_SK,
 ) -> DataFrame:
     """One row per cleaned order line, with dimension keys."""
+    return fact_columns(keyed_lines(lines, customers, products, geography, default_geography, default_channel))
+
+
+def keyed_lines(
+    lines: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    geography: DataFrame,
+    default_geography: int = rules.UNKNOWN_GEOGRAPHY_SK,
+    default_channel: int = rules.DEFAULT_CHANNEL_SK,
+) -> DataFrame:
+    """Cleaned lines with dimension keys, a channel and a batch id, all other columns as they are."""
     load_id = F.col("etl_load_id") if "etl_load_id" in lines.columns else F.lit(None).cast("string")
-    return (
-        _with_keys(lines, customers, products, geography, default_geography)
-        .withColumns(
-            {
-                "order_date_key": X.date_key("order_date"),
-                "channel_sk": _channel(lines, default_channel),
-                "unit_price": F.col("price").cast(MONEY),
-                "etl_load_id": load_id,
-            }
-        )
-        .select(*FACT_ITEM_COLUMNS)
+    return _with_keys(lines, customers, products, geography, default_geography).withColumns(
+        {"channel_sk": _channel(lines, default_channel), "etl_load_id": load_id}
     )
 
 
+def fact_columns(keyed: DataFrame) -> DataFrame:
+    """The item fact from lines with keys."""
+    return keyed.withColumns(
+        {"order_date_key": X.date_key("order_date"), "unit_price": F.col("price").cast(MONEY)}
+    ).select(*FACT_ITEM_COLUMNS)
+
+
 def build_fact_from_staging(
     staging: DataFrame,
     customers: DataFrame,
@@ -116,13 +128,15 @@ def count_unmapped(lines: DataFrame, customers: DataFrame, products: DataFrame)
     return missing(customers, "customer_id").unionByName(missing(products, "product_id"))
 
 
-def build_fact_order_summary(items: DataFrame) -> DataFrame:
+def build_fact_order_summary(items: DataFrame, by_date: bool = False) -> DataFrame:
     """Order grain: items, quantity, revenue and distinct products.
 
-    Lines are moved once, by order; counting distinct products needs no second exchange then.
+    Lines are moved once, by order; counting distinct products needs no second exchange then.  ``by_date`` moves them in
+    ranges of (date, order), so that orders come out in the layout of the stored fact.
     """
     order = ("order_id", "order_date_key", "customer_sk", "geography_sk")
-    return items.repartition(*order).groupBy(*order).agg(
+    moved = items.repartitionByRange("order_date_key", "order_id") if by_date else items.repartition(*order)
+    return moved.groupBy(*order).agg(
         F.count(F.lit(1)).alias("total_items"),
         F.sum("quantity").alias("total_quantity"),
         F.sum("gross_revenue").cast(MONEY).alias("order_gross_revenue"),
@@ -164,22 +178,26 @@ def monthly_product_base(items: DataFrame) -> DataFrame:
     )
 
 
-def with_month_change(monthly: DataFrame) -> DataFrame:
+def with_month_change(monthly: DataFrame, layout: Sequence[str] = ()) -> DataFrame:
     """Change against the product's previous existing month.
 
-    A product's window holds one row per calendar month.
+    A product's window holds one row per calendar month.  With a ``layout`` the rows are rebalanced on these columns while
+    they carry the earlier month's numbers, which are half as wide as the changes.
     """
     earlier = Window.partitionBy("product_sk").orderBy("year_month_key")
-    return monthly.withColumns(
+    prior = {f"_prior_{c}": F.lag(c).over(earlier) for c in ("total_net_revenue", "total_units_sold")}
+    rows = monthly.withColumns(prior)
+    rows = rows.hint("rebalance", *layout) if layout else rows
+    return rows.withColumns(
         {
-            "revenue_mom_change_pct": X.growth("total_net_revenue", F.lag("total_net_revenue").over(earlier)),
-            "units_mom_change_pct": X.growth("total_units_sold", F.lag("total_units_sold").over(earlier)),
+            "revenue_mom_change_pct": X.growth("total_net_revenue", "_prior_total_net_revenue"),
+            "units_mom_change_pct": X.growth("total_units_sold", "_prior_total_units_sold"),
         }
-    )
+    ).drop(*prior)
 
 
-def build_fact_monthly_product(items: DataFrame) -> DataFrame:
-    return with_month_change(monthly_product_base(items))
+def build_fact_monthly_product(items: DataFrame, layout: Sequence[str] = ()) -> DataFrame:
+    return with_month_change(monthly_product_base(items), layout)
 
 
 def with_layout_columns(fact: DataFrame, key: str = "order_date_key") -> DataFrame:

@@ -14,7 +14,7 @@ from tallyhouse.functions import rules
 from tallyhouse.operators import dimensions as D
 from tallyhouse.operators import facts, quarantine
 from tallyhouse.operators.calendar import build_dim_date
-from tallyhouse.operators.cleaning import clean_orders, clean_split
+from tallyhouse.operators.cleaning import clean_orders, clean_split, derive_revenue
 from tallyhouse.operators.constraints import fact_rules, split_violations
 from tallyhouse.operators.upsert import upsert_customers_changed, upsert_products_changed, upsert_type1
 from tallyhouse.plans.star import Star
@@ -22,6 +22,7 @@ from tallyhouse.sources.files import load_raw, load_staging, save_processed, sta
 from tallyhouse.sources.warehouse import Version, Warehouse
 
 LAYOUT = ("order_year", "order_month")
+MONTHLY_LAYOUT = ("year_month_key",)
 PIPELINE = "fact_order_items_load"
 
 
@@ -86,16 +87,23 @@ def load_dimensions(
     )
 
 
-def build_items(wh: Warehouse, lines: DataFrame, settings: Settings) -> DataFrame:
-    """Order-item fact with layout columns, rows that break a check left out."""
-    items = facts.build_fact_order_items(
-        lines,
+def build_items(wh: Warehouse, lines: DataFrame, settings: Settings, rebalanced: bool = False) -> DataFrame:
+    """Order-item fact with layout columns, rows that break a check left out.
+
+    ``lines`` are cleaned: what was derived from price, quantity and amount is left behind and derived again after the
+    last move, which with ``rebalanced`` is that to the months.
+    """
+    keyed = facts.keyed_lines(
+        lines.drop("gross_revenue", "discount_amount", "discount_pct"),
         wh.read("dim_customer"),
         wh.read("dim_product"),
         wh.read("dim_geography"),
         settings.default_geography,
         settings.default_channel,
     )
+    if rebalanced:
+        keyed = keyed.withColumn("_month", F.trunc("order_date", "month")).hint("rebalance", "_month")
+    items = facts.fact_columns(derive_revenue(keyed.withColumn("total_amount", F.col("net_revenue"))))
     good, _ = split_violations(items, fact_rules(settings.date_key_range))
     return facts.with_layout_columns(good)
 
@@ -130,19 +138,19 @@ def quarantine_rows(
 
 def write_derived(wh: Warehouse, items: DataFrame) -> dict[str, Version]:
     """New versions of the order and the monthly fact from the stored items."""
-    summary = facts.with_layout_columns(facts.build_fact_order_summary(items))
-    monthly = facts.build_fact_monthly_product(items)
+    summary = facts.with_layout_columns(facts.build_fact_order_summary(items, by_date=True))
+    monthly = facts.build_fact_monthly_product(items, MONTHLY_LAYOUT)
     return {
-        "fact_order_summary": wh.write_version("fact_order_summary", summary, LAYOUT),
+        "fact_order_summary": wh.write_version("fact_order_summary", summary, LAYOUT, moved=True),
         "fact_monthly_product_performance": wh.write_version(
-            "fact_monthly_product_performance", monthly, ("year_month_key",)
+            "fact_monthly_product_performance", monthly, MONTHLY_LAYOUT, moved=True
         ),
     }
 
 
 def load_facts(wh: Warehouse, lines: DataFrame, settings: Settings) -> None:
     """Truncate and reload of the three facts, published together."""
-    version = wh.write_version("fact_order_items", build_items(wh, lines, settings), LAYOUT)
+    version = wh.write_version("fact_order_items", build_items(wh, lines, settings, rebalanced=True), LAYOUT, moved=True)
     items = wh.read_version("fact_order_items", version)
     wh.publish({"fact_order_items": version, **write_derived(wh, items)})
 

@@ -55,19 +55,24 @@ def monthly_growth(star: Star) -> DataFrame:
 
 
 def category_share(star: Star) -> DataFrame:
-    """Category by year with its share of the year."""
-    grouped = (
-        star.dated_items()
-        .join(star.products.select("product_sk", "category"), "product_sk")
-        .groupBy("category", "year_number")
-        .agg(
-            F.sum("net_revenue").alias("net_revenue"),
-            F.sum("gross_revenue").alias("gross_revenue"),
-            F.sum("discount_amount").alias("total_discounts"),
-            F.count_distinct("order_id").alias("total_orders"),
-            F.sum("quantity").alias("units_sold"),
-            F.avg("unit_price").alias("avg_unit_price"),
-        )
+    """Category by year with its share of the year.
+
+    Orders are counted beside the sums: one aggregate of both would move every sum's state with each order.
+    """
+    group = ("category", "year_number")
+    lines = star.dated_items().join(star.products.select("product_sk", "category"), "product_sk")
+    sums = lines.groupBy(*group).agg(
+        F.sum("net_revenue").alias("net_revenue"),
+        F.sum("gross_revenue").alias("gross_revenue"),
+        F.sum("discount_amount").alias("total_discounts"),
+        F.sum("quantity").alias("units_sold"),
+        F.avg("unit_price").alias("avg_unit_price"),
+    )
+    orders = lines.groupBy(*group).agg(F.count_distinct("order_id").alias("total_orders"))
+    orders = orders.withColumnsRenamed({c: f"_{c}" for c in group})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group]
+    grouped = sums.join(orders, same).select(
+        *group, "net_revenue", "gross_revenue", "total_discounts", "total_orders", "units_sold", "avg_unit_price"
     )
     year_total = F.sum("net_revenue").over(Window.partitionBy("year_number"))
     return grouped.withColumn("revenue_share_pct", X.pct("net_revenue", year_total)).orderBy(

@@ -105,9 +105,12 @@ def up_to(step) -> Query:
 
 
 def stored_lines(wh: Warehouse, folder: str) -> DataFrame:
-    """Undamaged lines as the processed snapshot, so the parent joins run once."""
-    path = files.save_processed(clean_lines(wh.spark, folder), f"{wh.root}/processed", "sample")
-    return wh.spark.read.parquet(path)
+    """Undamaged lines as the processed snapshot, so the parent joins run once.
+
+    Stored as they are delivered; readers compute the derived columns that they use.
+    """
+    path = files.save_processed(order_lines(wh.spark, folder), f"{wh.root}/processed", "sample")
+    return wh.spark.read.parquet(path).transform(cleaning.derived)
 
 
 def sample_warehouse(spark: SparkSession, folder: str) -> Warehouse:

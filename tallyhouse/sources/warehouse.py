@@ -113,15 +113,16 @@ class Warehouse:
         reader = self.spark.read.schema(version.schema).option("basePath", base)
         return reader.parquet(*[f"{base}/{folder}" for folder in version.folders])
 
-    def write_version(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> Version:
+    def write_version(self, table: str, df: DataFrame, partition_by: Sequence[str] = (), moved: bool = False) -> Version:
         """Write a new, not yet published version into a folder of its own.
 
         Partitioned tables are rebalanced on their partition columns: AQE makes
-        files of the advisory size and splits a folder that holds too much.
+        files of the advisory size and splits a folder that holds too much.  Rows
+        that were ``moved`` to their folders already stay where they are.
         """
         number = self.current_version(table) + 1
         folder = f"{FOLDER}=v{number:06d}-{uuid.uuid4().hex}"
-        rows = df.hint("rebalance", *partition_by) if partition_by else df
+        rows = df.hint("rebalance", *partition_by) if partition_by and not moved else df
         write_parquet(rows, f"{self.path('dw', table)}/{folder}", partition_by)
         return Version(number, (folder,), df.schema)
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import facts
 from tallyhouse.operators.dimensions import newest_rows
-from tallyhouse.registry import QUERIES
+from tallyhouse.plans import full_load, revenue
+from tallyhouse.registry import QUERIES, SETTINGS, clean_lines, sample_warehouse, stored_lines
 from tallyhouse.schemas import SOURCE_COLUMNS
 from tallyhouse.session import materialize
 from tallyhouse.sources import files
@@ -126,3 +127,39 @@ def test_landing_copy_may_be_compressed(spark, tables, tmp_path):
     files.landing_copy(spark, f"{tmp_path}/in", f"{tmp_path}/plain")
     assert files.extract_fixed(spark, f"{tmp_path}/plain").count() == rows.count()
     assert list((tmp_path / "out").glob("*.csv.gz")) and not list((tmp_path / "plain").glob("*.csv.gz"))
+
+
+def test_loads_move_what_cannot_be_computed(spark, tables):
+    """Stored lines and the lines moved to their months hold no derived measures; the fact has them all the same."""
+    wh = sample_warehouse(spark, tables)
+    lines = stored_lines(wh, tables)
+    assert spark.read.parquet(f"{wh.root}/processed/run_ts=sample").columns == order_lines(spark, tables).columns
+    text = plan(full_load.build_items(wh, lines, SETTINGS, rebalanced=True))
+    below = text[text.index("RebalancePartitions") :]
+    assert "net_revenue" in below and "discount_pct" not in below and "gross_revenue" not in below
+    asked = facts.build_fact_order_items(clean_lines(spark, tables), wh.read("dim_customer"), wh.read("dim_product"), wh.read("dim_geography"))
+    items = wh.read("fact_order_items").select(*asked.columns)
+    assert items.count() == 12 and sorted(map(str, items.collect())) == sorted(map(str, asked.collect()))
+
+
+def test_months_are_moved_with_the_earlier_numbers(spark, tables):
+    items = full_load.open_star(sample_warehouse(spark, tables)).items
+    monthly = facts.build_fact_monthly_product(items, ("year_month_key",))
+    text = plan(monthly)
+    assert "mom_change_pct" not in text[text.index("RebalancePartitions") :]
+    assert sorted(map(str, monthly.collect())) == sorted(map(str, facts.build_fact_monthly_product(items).collect()))
+
+
+def test_orders_by_date_are_moved_once(spark, tables):
+    items = full_load.open_star(sample_warehouse(spark, tables)).items
+    orders = facts.build_fact_order_summary(items, by_date=True)
+    text = orders._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange rangepartitioning") == 1 and text.count("Exchange ") == 1
+    assert sorted(map(str, orders.collect())) == sorted(map(str, facts.build_fact_order_summary(items).collect()))
+
+
+def test_category_orders_are_moved_without_sums(spark, tables):
+    shares = revenue.category_share(full_load.open_star(sample_warehouse(spark, tables)))
+    by_order = [x for x in shares._jdf.queryExecution().executedPlan().toString().splitlines() if "Aggregate(keys=[" in x and "order_id" in x.split("functions=")[0]]
+    assert by_order and not any("sum(" in x or "avg(" in x for x in by_order)
+    assert sum(r["total_orders"] for r in shares.collect()) == 6
