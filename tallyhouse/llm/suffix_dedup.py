@@ -37,6 +37,7 @@ from tallyhouse.session import literal_rows
 
 LENGTH = 100
 ANCHOR = 48  # longer ones repeat by chance less often, shorter ones are fewer
+PIECE_BYTES = 1 << 16  # of text named at once: its arrays of 64-bit names stay in the processor's cache
 _ODD = np.uint64(0x9E3779B97F4A7C15)  # 2^64 divided by the golden ratio
 _LOW = np.uint64(0xFFFFFFFF)
 ROW = "rank long, next long, doc long, start long, n int"
@@ -82,7 +83,7 @@ def anchor_runs(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.n
         best, step = np.minimum(best[: len(best) - step], best[step:]), 2 * step
     best = np.minimum(best[:total], best[width - step : width - step + total])
     at = (best & _LOW).astype(np.int64)
-    doc = np.searchsorted(bounds, np.arange(total), side="right") - 1
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))[:total]
     inside = np.arange(total) + length <= bounds[doc + 1]
     new = inside.copy()
     new[1:] &= (at[1:] != at[:-1]) | (doc[1:] != doc[:-1]) | ~inside[:-1]
@@ -192,7 +193,7 @@ def _dense(length: int):
     """Every start of the undecided runs, named at offset 0 and at half the length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", PIECE_BYTES):
             data, bounds = _joined(batch.column("text").to_pylist())
             h = (length + 1) // 2
             half = names(data, h)
@@ -212,12 +213,11 @@ def _dense(length: int):
     return run
 
 
-def repeated_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(doc, start, n): runs of starts of strings that also start earlier; ``docs`` has ``_doc`` and ``text``."""
-    assert length >= 2
+def _sparse(length: int):
+    """The runs of starts that share an anchor."""
 
-    def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", PIECE_BYTES):
             data, bounds = _joined(batch.column("text").to_pylist())
             doc, start, n, rank, around = anchor_runs(data, bounds, length)
             yield pa.RecordBatch.from_arrays(
@@ -225,7 +225,13 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 ["rank", "next", "doc", "start", "n"],
             )
 
-    anchors = stored(docs.select("_doc", "text").mapInArrow(sparse, ROW))
+    return run
+
+
+def repeated_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """(doc, start, n): runs of starts of strings that also start earlier; ``docs`` has ``_doc`` and ``text``."""
+    assert length >= 2
+    anchors = stored(docs.select("_doc", "text").mapInArrow(_sparse(length), ROW))
     decided, undecided = rerank(anchors)
     forget(anchors)
     runs = undecided.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("runs"))  # bounded by the document

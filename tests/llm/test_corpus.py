@@ -780,3 +780,23 @@ def test_pipeline_equals_plain_stages(spark, tmp_path):
             assert r["ids_crc32"] == zlib.crc32(ids[at : at + r["length"]].tobytes())
             at += r["length"]
         assert at == len(ids)
+
+
+def test_suffix_names_are_given_in_small_pieces():
+    """Texts are named some at a time, with the runs that all texts at once have."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tallyhouse.llm import suffix_dedup
+
+    rng = np.random.default_rng(5)
+    texts = ["".join(map(chr, rng.integers(97, 123, 9000))) for _ in range(30)] + ["", None, "short", "é" * 200]
+    texts[7] = texts[3]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["_doc", "text"])
+    pieces = list(suffix_dedup._sparse(100)(iter([batch])))
+    assert len(pieces) >= 4 and all(len(set(p.column("doc").to_pylist())) * 9000 <= suffix_dedup.PIECE_BYTES for p in pieces)
+    doc, start, n, rank, around = suffix_dedup.anchor_runs(*suffix_dedup._joined(texts), 100)
+    whole = list(zip(rank.tolist(), around.tolist(), doc.tolist(), start.tolist(), n.tolist()))
+    assert [tuple(r.values()) for p in pieces for r in p.to_pylist()] == whole
+    runs = {d: [r[:2] + r[3:] for r in whole if r[2] == d] for d in (3, 7)}
+    assert runs[3] and runs[3] == runs[7]
