@@ -14,6 +14,7 @@ from tallyhouse.schemas import SOURCE_COLUMNS
 from tallyhouse.session import materialize
 from tallyhouse.sources import files
 from tallyhouse.sources.sample_tables import order_lines
+from tallyhouse.sources.warehouse import Warehouse
 
 
 @pytest.fixture(scope="module")
@@ -163,3 +164,12 @@ def test_category_orders_are_moved_without_sums(spark, tables):
     by_order = [x for x in shares._jdf.queryExecution().executedPlan().toString().splitlines() if "Aggregate(keys=[" in x and "order_id" in x.split("functions=")[0]]
     assert by_order and not any("sum(" in x or "avg(" in x for x in by_order)
     assert sum(r["total_orders"] for r in shares.collect()) == 6
+
+
+def test_dry_run_computes_typed_rows_once(spark, source, tmp_path):
+    """The median and the result read typed rows that were stored aside; the warehouse stays empty."""
+    wh = Warehouse(spark, f"{tmp_path}/wh")
+    rows = full_load.run_pipeline(wh, source({}, {"order_item_id": "2", "price": ""}), dry_run=True)
+    assert "LogicalRDD" not in plan(rows)
+    assert sorted(r["price"] for r in rows.collect()) == [Decimal("600.00")] * 2
+    assert not (tmp_path / "wh").exists()
