@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -197,16 +198,13 @@ def _dense(length: int):
             data, bounds = _joined(batch.column("text").to_pylist())
             h = (length + 1) // 2
             half = names(data, h)
-            at, docs = [], []
-            for i, (doc, runs) in enumerate(zip(batch.column("_doc").to_pylist(), batch.column("runs").to_pylist())):
-                for r in runs:
-                    at.append(bounds[i] + r["start"] + np.arange(r["n"]))
-                    docs.append((doc, r["n"], bounds[i]))
-            where = np.concatenate(at)
-            doc = np.repeat([d for d, _, _ in docs], [n for _, n, _ in docs])
-            base = np.repeat([b for _, _, b in docs], [n for _, n, _ in docs])
+            ends, start, n = _flat(batch.column("runs"))
+            doc = np.repeat(np.arange(batch.num_rows), np.diff(ends))
+            offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)
+            doc = np.repeat(doc, n)
+            where = bounds[doc] + offset
             yield pa.RecordBatch.from_arrays(
-                [pa.array(half[where].view(np.int64)), pa.array(half[where + length - h].view(np.int64)), pa.array(doc, pa.int64()), pa.array(where - base, pa.int64()), pa.array(np.ones(len(where), np.int32))],
+                [pa.array(half[where].view(np.int64)), pa.array(half[where + length - h].view(np.int64)), pa.array(batch.column("_doc").to_numpy()[doc], pa.int64()), pa.array(offset, pa.int64()), pa.array(np.ones(len(where), np.int32))],
                 ["rank", "next", "doc", "start", "n"],
             )
 
@@ -241,15 +239,32 @@ def repeated_runs(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return decided.unionByName(repeated).select("doc", "start", "n")
 
 
-def spans(runs: list[dict], length: int) -> list[tuple[int, int]]:
+def _flat(runs: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ends, start, n): row k has the runs from ends[k] to ends[k + 1], none if it is null.
+
+    A document of a thousand bytes may have as many runs, each of them a few hundred bytes as a Python object.
+    """
+    flat = runs.flatten()
+    sizes = pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False)
+    start, n = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
+    return np.append(0, np.cumsum(sizes)).astype(np.int64), start, n
+
+
+def spans(start: np.ndarray, n: np.ndarray, length: int) -> list[tuple[int, int]]:
     """Sorted, disjoint (from, to) of the bytes under the strings of all runs; touching ones are one."""
-    out: list[list[int]] = []
-    for start, end in sorted((r["start"], r["start"] + r["n"] - 1 + length) for r in runs):
-        if out and start <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], end)
-        else:
-            out.append([start, end])
-    return [(a, b) for a, b in out]
+    if not len(start):
+        return []
+    order = np.argsort(start, kind="stable")
+    begin, end = start[order], np.maximum.accumulate((start + n)[order] - 1 + length)
+    new = np.flatnonzero(begin[1:] > end[:-1])
+    return list(zip(begin[np.append(0, new + 1)].tolist(), end[np.append(new, len(end) - 1)].tolist()))
+
+
+def cuts(batch: pa.RecordBatch, length: int) -> Iterator[tuple[str | None, list[tuple[int, int]]]]:
+    """The text of each row and the spans of its ``_runs``."""
+    ends, start, n = _flat(batch.column("_runs"))
+    for k, text in enumerate(batch.column("text")):
+        yield text.as_py(), spans(start[ends[k] : ends[k + 1]], n[ends[k] : ends[k + 1]], length)
 
 
 def without(data: bytes, gone: list[tuple[int, int]]) -> bytes:
@@ -274,8 +289,8 @@ def repeat_digest(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             rows = []
-            for text, runs in zip(batch.column("text").to_pylist(), batch.column("_runs").to_pylist()):
-                data, gone = (text or "").encode("utf-8", "surrogatepass"), spans(runs or [], length)
+            for text, gone in cuts(batch, length):
+                data = (text or "").encode("utf-8", "surrogatepass")
                 rows.append((len(data), sum(b - a for a, b in gone), len(gone), hashlib.sha256(without(data, gone)).hexdigest()))
             columns = [pa.array(x, t) for x, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.string()))]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
@@ -293,9 +308,9 @@ def drop_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             texts = []
-            for text, runs in zip(batch.column("text").to_pylist(), batch.column("_runs").to_pylist()):
-                if text is not None and runs:
-                    text = without(text.encode("utf-8", "surrogatepass"), spans(runs, length)).decode("utf-8", "ignore")
+            for text, gone in cuts(batch, length):
+                if text is not None and gone:
+                    text = without(text.encode("utf-8", "surrogatepass"), gone).decode("utf-8", "ignore")
                 texts.append(text)
             columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns_in]
             yield pa.RecordBatch.from_arrays(columns, columns_in)

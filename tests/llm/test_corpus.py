@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -800,3 +801,27 @@ def test_suffix_names_are_given_in_small_pieces():
     assert [tuple(r.values()) for p in pieces for r in p.to_pylist()] == whole
     runs = {d: [r[:2] + r[3:] for r in whole if r[2] == d] for d in (3, 7)}
     assert runs[3] and runs[3] == runs[7]
+
+
+def test_repeat_spans_of_many_runs_stay_arrays():
+    """A run for every byte, as near copies give them, may not become a Python object each."""
+    import tracemalloc
+
+    many = 200_000
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("n", pa.int32())]))
+    each = pa.StructArray.from_arrays([pa.array(np.arange(many)[::-1]), pa.array(np.ones(many, np.int32))], ["start", "n"])
+    all_in_one = pa.ListArray.from_arrays(pa.array([0, many], pa.int32()), each)
+    text = pa.array(["x" * (many + 99)])
+    tracemalloc.start()
+    try:
+        assert list(suffix_dedup.cuts(pa.RecordBatch.from_arrays([text, all_in_one], ["text", "_runs"]), 100)) == [(text[0].as_py(), [(0, many + 99)])]
+        assert tracemalloc.get_traced_memory()[1] < 20e6  # 45 MB as dicts
+    finally:
+        tracemalloc.stop()
+
+    rows = [[(5, 2), (106, 1), (300, 1)], None, [], [(7, 1), (0, 3)], [(10, 200), (20, 1), (309, 1), (410, 1)]]
+    lists = pa.array([None if r is None else [{"start": a, "n": n} for a, n in r] for r in rows], kind)
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", None, "b", "c", "d"]), lists], ["text", "_runs"]).slice(0, 5)
+    want = [[(5, 206), (300, 400)], [], [], [(0, 107)], [(10, 409), (410, 510)]]
+    assert [gone for _, gone in suffix_dedup.cuts(batch, 100)] == want
+    assert [gone for _, gone in suffix_dedup.cuts(batch.slice(3), 100)] == want[3:]  # a slice of a list array
