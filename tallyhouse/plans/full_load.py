@@ -16,6 +16,7 @@ from tallyhouse.operators import facts, quarantine
 from tallyhouse.operators.calendar import build_dim_date
 from tallyhouse.operators.cleaning import clean_orders, clean_split, derive_revenue
 from tallyhouse.operators.constraints import fact_rules, split_violations
+from tallyhouse.operators.frequent import frequent_values
 from tallyhouse.operators.upsert import upsert_customers_changed, upsert_products_changed, upsert_type1
 from tallyhouse.plans.star import Star
 from tallyhouse.sources.files import load_raw, load_staging, save_processed, staging_rows, with_audit
@@ -102,7 +103,8 @@ def build_items(wh: Warehouse, lines: DataFrame, settings: Settings, rebalanced:
         settings.default_channel,
     )
     if rebalanced:
-        keyed = keyed.withColumn("_month", F.trunc("order_date", "month")).hint("rebalance", "_month")
+        month = F.trunc("order_date", "month").alias("_month")
+        keyed = keyed.select(month, *facts.KEYED_ORDER_COLUMNS, *facts.KEYED_LINE_COLUMNS).hint("rebalance", "_month")
     items = facts.fact_columns(derive_revenue(keyed.withColumn("total_amount", F.col("net_revenue"))))
     good, _ = split_violations(items, fact_rules(settings.date_key_range))
     return facts.with_layout_columns(good)
@@ -139,7 +141,7 @@ def quarantine_rows(
 def write_derived(wh: Warehouse, items: DataFrame) -> dict[str, Version]:
     """New versions of the order and the monthly fact from the stored items."""
     summary = facts.with_layout_columns(facts.build_fact_order_summary(items, by_date=True))
-    monthly = facts.build_fact_monthly_product(items, MONTHLY_LAYOUT)
+    monthly = facts.build_fact_monthly_product(items, MONTHLY_LAYOUT, frequent_values(items, "product_sk"))
     return {
         "fact_order_summary": wh.write_version("fact_order_summary", summary, LAYOUT, moved=True),
         "fact_monthly_product_performance": wh.write_version(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import expressions as X
+from tallyhouse.operators.frequent import totals_by_key
 from tallyhouse.plans.customers import customer_activity, order_counts, rfm_inputs
 from tallyhouse.plans.star import Star, line_mean
 
@@ -294,11 +295,17 @@ def qoq_waterfall(star: Star) -> DataFrame:
 
 
 def product_matrix(star: Star) -> DataFrame:
-    per_product = star.items.groupBy("product_sk").agg(
-        F.sum("quantity").alias("units_sold"),
-        F.sum("net_revenue").alias("net_revenue"),
-        F.avg("net_revenue").alias("avg_order_value"),
-        F.count_distinct("order_id").alias("total_orders"),
+    totals = {
+        "units_sold": (F.sum, "quantity"),
+        "net_revenue": (F.sum, "net_revenue"),
+        "_priced": (F.count, "net_revenue"),
+    }
+    per_product = totals_by_key(star.items, "product_sk", totals, "order_id", "total_orders").select(
+        "product_sk",
+        "units_sold",
+        "net_revenue",
+        F.try_divide("net_revenue", "_priced").cast("decimal(22,6)").alias("avg_order_value"),
+        "total_orders",
     )
     return (
         per_product.join(star.products.select("product_sk", "product_id", "product_name", "category"), "product_sk")

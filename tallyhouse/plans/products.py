@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import expressions as X
 from tallyhouse.functions import rules
+from tallyhouse.operators.frequent import totals_by_key
 from tallyhouse.operators.ordering import rank_globally
 from tallyhouse.plans.star import Star
 
@@ -14,13 +15,13 @@ PRODUCT_COLUMNS = ("product_sk", "product_id", "product_name", "category", "pric
 
 
 def _sums(star: Star) -> DataFrame:
-    return star.items.groupBy("product_sk").agg(
-        F.count_distinct("order_id").alias("total_orders"),
-        F.sum("quantity").alias("total_units_sold"),
-        F.sum("net_revenue").alias("total_net_revenue"),
-        F.sum("gross_revenue").alias("total_gross_revenue"),
-        F.count(F.lit(1)).alias("line_count"),
-    )
+    totals = {
+        "total_units_sold": (F.sum, "quantity"),
+        "total_net_revenue": (F.sum, "net_revenue"),
+        "total_gross_revenue": (F.sum, "gross_revenue"),
+        "line_count": (F.count, None),
+    }
+    return totals_by_key(star.items, "product_sk", totals, "order_id", "total_orders")
 
 
 def product_totals(star: Star) -> DataFrame:

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyhouse.operators import facts
+from tallyhouse.operators import frequent as keyed_sums
 from tallyhouse.operators.dimensions import newest_rows
-from tallyhouse.plans import full_load, revenue
+from tallyhouse.plans import full_load, measures, products, revenue
 from tallyhouse.registry import QUERIES, SETTINGS, clean_lines, sample_warehouse, stored_lines
 from tallyhouse.schemas import SOURCE_COLUMNS
 from tallyhouse.session import materialize
@@ -173,3 +174,56 @@ def test_dry_run_computes_typed_rows_once(spark, source, tmp_path):
     assert "LogicalRDD" not in plan(rows)
     assert sorted(r["price"] for r in rows.collect()) == [Decimal("600.00")] * 2
     assert not (tmp_path / "wh").exists()
+
+
+def test_frequent_products_are_moved_by_month_others_by_product(spark, tables):
+    """The monthly fact moves lines once and, but for frequent products, its own rows only to their months."""
+    items = full_load.open_star(sample_warehouse(spark, tables)).items
+    wanted = sorted(map(str, facts.build_fact_monthly_product(items).collect()))
+    assert exchanges(facts.build_fact_monthly_product(items)) == 2
+    assert exchanges(facts.build_fact_monthly_product(items, (), [])) == 1
+    for frequent in ([], [1, 3], [1, 2, 3, 4]):
+        assert sorted(map(str, facts.build_fact_monthly_product(items, (), frequent).collect())) == wanted
+        assert sorted(map(str, facts.build_fact_monthly_product(items, ("year_month_key",), frequent).collect())) == wanted
+
+
+def test_order_lines_move_with_what_they_share_in_front(spark, tables):
+    wh = sample_warehouse(spark, tables)
+    moved = plan(full_load.build_items(wh, stored_lines(wh, tables), SETTINGS, rebalanced=True))
+    below = moved[moved.index("RebalancePartitions") :].splitlines()[1]
+    assert below.index("customer_sk") < below.index("order_id#") < below.index("order_item_id") < below.index("product_sk")
+    # The join on customers is the last one.
+    assert moved.index("customer_sk#") < moved.index("Join Inner, (customer_id") < moved.index("Join Inner, (product_id")
+
+
+@pytest.mark.parametrize("frequent", [[], [1], [1, 2, None]])
+def test_totals_by_key_move_plain_rows_once(spark, monkeypatch, frequent):
+    rows = spark.createDataFrame(
+        [(1, 10, 2, Decimal("1.10"))] * 2
+        + [(1, 11, None, None), (1, None, 5, Decimal("2.00")), (2, 10, 1, None), (None, 12, 3, Decimal("4.00")), (None, 13, 3, None)],
+        "k long, o long, q int, m decimal(18,2)",
+    )
+    totals = {"q": (F.sum, "q"), "m": (F.sum, "m"), "priced": (F.count, "m"), "n": (F.count, None), "low": (F.min, "q"), "high": (F.max, "q")}
+    asked = rows.groupBy("k").agg(F.count_distinct("o").alias("orders"), *[how(c or F.lit(1)).alias(name) for name, (how, c) in totals.items()])
+    assert set(keyed_sums.frequent_values(rows, "k")) == {1, 2}
+    monkeypatch.setattr(keyed_sums, "frequent_values", lambda *_: frequent)
+    found = keyed_sums.totals_by_key(rows, "k", totals, "o", "orders")
+    # The rows as they are, then sums per key.
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == (2 if frequent else 1)
+    assert "HashAggregate" not in text[text.rindex("Exchange hashpartitioning") :]
+    assert found.dtypes == asked.dtypes
+    assert sorted(map(str, found.collect())) == sorted(map(str, asked.collect()))
+
+
+def test_frequent_values_are_found(spark):
+    rows = spark.range(20000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k")).repartition(7)
+    found = keyed_sums.frequent_values(rows, "k")
+    assert -1 in found and len(found) <= 1000
+
+
+def test_totals_send_no_sums_twice(spark, tables):
+    star = full_load.open_star(sample_warehouse(spark, tables))
+    for found in (measures.product_matrix(star), products.product_totals(star)):
+        text = found._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" not in text[text.rindex("Exchange hashpartitioning") :]
