@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions import expressions as X
 from tallyhouse.functions import rules
+from tallyhouse.operators.frequent import totals_by_key
 from tallyhouse.operators.ordering import ntile_column, rank_globally
 from tallyhouse.plans.star import Star
 from tallyhouse.session import materialize
@@ -16,17 +17,15 @@ from tallyhouse.session import materialize
 
 def customer_activity(star: Star) -> DataFrame:
     """Orders, units, value, first and last day, one row per customer."""
+    totals = {
+        "total_items_bought": (F.sum, "quantity"),
+        "lifetime_value": (F.sum, "net_revenue"),
+        "line_count": (F.sum, "line_count"),
+        "first_key": (F.min, "order_date_key"),
+        "last_key": (F.max, "order_date_key"),
+    }
     return (
-        star.order_lines()
-        .groupBy("customer_sk")
-        .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.sum("quantity").alias("total_items_bought"),
-            F.sum("net_revenue").alias("lifetime_value"),
-            F.sum("line_count").alias("line_count"),
-            F.min("order_date_key").alias("first_key"),
-            F.max("order_date_key").alias("last_key"),
-        )
+        totals_by_key(star.order_lines(), "customer_sk", totals, "order_id", "total_orders")
         .withColumns(
             {
                 "first_order_date": X.date_of_key("first_key"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import facts
 from tallyhouse.operators import frequent as keyed_sums
 from tallyhouse.operators.dimensions import newest_rows
-from tallyhouse.plans import full_load, measures, products, revenue
+from tallyhouse.plans import customers, full_load, measures, products, revenue
 from tallyhouse.registry import QUERIES, SETTINGS, clean_lines, sample_warehouse, stored_lines
 from tallyhouse.schemas import SOURCE_COLUMNS
 from tallyhouse.session import materialize
@@ -222,8 +222,8 @@ def test_frequent_values_are_found(spark):
     assert -1 in found and len(found) <= 1000
 
 
-def test_totals_send_no_sums_twice(spark, tables):
+def test_product_and_customer_totals_send_no_sums_twice(spark, tables):
     star = full_load.open_star(sample_warehouse(spark, tables))
-    for found in (measures.product_matrix(star), products.product_totals(star)):
+    for found in (measures.product_matrix(star), products.product_totals(star), customers.customer_activity(star)):
         text = found._jdf.queryExecution().executedPlan().toString()
         assert "HashAggregate" not in text[text.rindex("Exchange hashpartitioning") :]
