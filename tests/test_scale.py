@@ -12,7 +12,7 @@ from tallyhouse.operators.dimensions import newest_rows
 from tallyhouse.plans import customers, full_load, measures, products, revenue
 from tallyhouse.registry import QUERIES, SETTINGS, clean_lines, sample_warehouse, stored_lines
 from tallyhouse.schemas import SOURCE_COLUMNS
-from tallyhouse.session import materialize
+from tallyhouse.session import CLUSTER_CONF, materialize
 from tallyhouse.sources import files
 from tallyhouse.sources.sample_tables import order_lines
 from tallyhouse.sources.warehouse import Warehouse
@@ -227,3 +227,7 @@ def test_product_and_customer_totals_send_no_sums_twice(spark, tables):
     for found in (measures.product_matrix(star), products.product_totals(star), customers.customer_activity(star)):
         text = found._jdf.queryExecution().executedPlan().toString()
         assert "HashAggregate" not in text[text.rindex("Exchange hashpartitioning") :]
+
+
+def test_cluster_sessions_compress_shuffles_as_tables():
+    assert CLUSTER_CONF["spark.io.compression.codec"] == CLUSTER_CONF["spark.sql.parquet.compression.codec"] == "zstd"
