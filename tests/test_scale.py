@@ -6,7 +6,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.operators import facts
+from tallyhouse import session
+from tallyhouse.operators import constraints, facts
 from tallyhouse.operators import frequent as keyed_sums
 from tallyhouse.operators.dimensions import newest_rows
 from tallyhouse.plans import customers, full_load, measures, products, revenue
@@ -231,3 +232,30 @@ def test_product_and_customer_totals_send_no_sums_twice(spark, tables):
 
 def test_cluster_sessions_compress_shuffles_as_tables():
     assert CLUSTER_CONF["spark.io.compression.codec"] == CLUSTER_CONF["spark.sql.parquet.compression.codec"] == "zstd"
+
+
+def physical(df):
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_large_stored_tables_are_not_broadcast(spark, tables, monkeypatch):
+    """Files of a byte per key pass Spark's limit with millions of rows, which the driver would hold; rows decide then."""
+    wh = sample_warehouse(spark, tables)
+    lines = stored_lines(wh, tables)
+    small = full_load.build_items(wh, lines, SETTINGS)
+    assert "customer_sk" in physical(small) and "SortMergeJoin" not in physical(small)
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 1)
+    large = full_load.build_items(wh, lines, SETTINGS)
+    joins = [line for line in physical(large).splitlines() if "BroadcastHashJoin" in line]
+    assert physical(large).count("SortMergeJoin") == 2 and all("city" in line for line in joins)
+    assert sorted(large.collect()) == sorted(small.collect())
+    star = full_load.open_star(wh)
+    for dimension, key in ((star.customers, "customer_sk"), (star.products, "product_sk")):
+        assert "Broadcast" not in physical(star.items.join(dimension.select(key), key))
+
+
+def test_parents_of_foreign_keys_are_not_broadcast(spark, tables):
+    star = full_load.open_star(sample_warehouse(spark, tables))
+    report = constraints.fk_integrity(star)
+    assert "Broadcast" not in physical(report)
+    assert {r["orphan_rows"] for r in report.collect()} == {0}
