@@ -3,9 +3,10 @@
 Numbers have count, mean, standard deviation, extremes and quartiles (linear between the two nearest values), all other
 columns count, distinct values, the most frequent one (the smallest text of several) and how often it occurs.
 
-Means and deviations are one aggregate over the rows.  Everything else comes from one table of (column, value, rows), which
-combines before its shuffle.  A single range sort of its numbers by column and value gives every quartile of every column:
-a range partition's rows before it are one small row per column, so no task holds a column.
+Means and deviations are one aggregate over the rows.  Everything else comes from one table of (column, value, rows), made of
+one aggregate per column, which reads that column alone and combines before its shuffle.  A single range sort of its numbers
+by column and value gives every quartile of every column: a range partition's rows before it are one small row per column, so
+no task holds a column.
 """
 
 from __future__ import annotations
@@ -21,21 +22,29 @@ QUARTILES = (("q25", 0.25), ("q50", 0.50), ("q75", 0.75))
 
 
 def value_table(df: DataFrame) -> DataFrame:
-    """(column_name, number, text, n) of every value that is not null, numbers as double, the rest as text."""
-    values = []
+    """(column_name, number, text, n) of every value that is not null, numbers as double, the rest as text.
+
+    One aggregate per column: a row is never multiplied by its columns.
+    """
+    every = None
     for field in df.schema.fields:
-        numeric, column = isinstance(field.dataType, T.NumericType), F.col(f"`{field.name}`")
-        number = column.cast("double") if numeric else F.lit(None).cast("double")
-        text = F.lit(None).cast("string") if numeric else column.cast("string")
-        values.append(F.struct(F.lit(field.name).alias("column_name"), number.alias("number"), text.alias("text")))
-    each = df.select(F.inline(F.array(*values))).filter("number IS NOT NULL OR text IS NOT NULL")
-    return each.groupBy("column_name", "number", "text").agg(F.count(F.lit(1)).alias("n"))
+        numeric = isinstance(field.dataType, T.NumericType)
+        value = F.col(f"`{field.name}`").cast("double" if numeric else "string").alias("value")
+        counted = df.select(value).filter("value IS NOT NULL").groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+        none = F.lit(None)
+        rows = counted.select(
+            F.lit(field.name).alias("column_name"),
+            (F.col("value") if numeric else none).cast("double").alias("number"),
+            (none if numeric else F.col("value")).cast("string").alias("text"),
+            "n",
+        )
+        every = rows if every is None else every.unionByName(rows)
+    return every
 
 
 def quartiles(values: DataFrame) -> DataFrame:
     """(column_name, q25, q50, q75) from (column_name, number, n)."""
-    keyed = values.select(F.struct("column_name", "number").alias("_key"), "column_name", "number", "n")
-    placed = place(keyed, "_key", "n")
+    placed = place(values.select("column_name", "number", "n"), "column_name", "number")
     before = Window.partitionBy("column_name").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     all_rows = Window.partitionBy("column_name")  # both run over one row per range partition
     starts = placed.groupBy("column_name", "_bucket").agg(F.sum("n").alias("_rows")).select(
@@ -60,7 +69,10 @@ def quartiles(values: DataFrame) -> DataFrame:
 
 
 def describe_all(df: DataFrame) -> DataFrame:
-    """column_name, value_count, unique_values, top, freq, mean, std, min, q25, q50, q75, max of every column."""
+    """column_name, value_count, unique_values, top, freq, mean, std, min, q25, q50, q75, max of every column.
+
+    The rows are read by column, so what is costly for all columns alike should be stored before.
+    """
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
     values = materialize(value_table(df))
     counted = values.groupBy("column_name").agg(
@@ -71,7 +83,7 @@ def describe_all(df: DataFrame) -> DataFrame:
         F.max("number").alias("max"),
     )
     names = df.sparkSession.createDataFrame([(f.name,) for f in df.schema.fields], "column_name string")
-    most = counted.select("column_name", F.col("freq").alias("n"))
+    most = F.broadcast(counted.select("column_name", F.col("freq").alias("n")))  # one row per column
     top = values.filter("text IS NOT NULL").join(most, ["column_name", "n"]).groupBy("column_name").agg(F.min("text").alias("top"))
     moments = df.agg(
         *[F.avg(F.col(f"`{c}`").cast("double")).alias(f"mean {c}") for c in numeric],

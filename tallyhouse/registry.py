@@ -593,7 +593,7 @@ def _dry_run_describe(spark, folder):
     """All columns but the batch id, which differs from run to run; means and deviations to single precision."""
     wh = Warehouse(spark, scratch(spark))
     rows = full_load.run_pipeline(wh, dirty_source(spark, folder), dry_run=True, load_time=NOW)
-    shown = describe_all(materialize(rows.drop("etl_load_id")))
+    shown = describe_all(rows.drop("etl_load_id"))
     return shown.withColumns({c: F.col(c).cast("float") for c in ("mean", "std")})
 
 

@@ -6,8 +6,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse import session
-from tallyhouse.operators import constraints, facts
+from tallyhouse import registry, session
+from tallyhouse.operators import constraints, describe, facts
 from tallyhouse.operators import frequent as keyed_sums
 from tallyhouse.operators.dimensions import newest_rows
 from tallyhouse.plans import customers, full_load, measures, products, revenue
@@ -177,6 +177,24 @@ def test_dry_run_computes_typed_rows_once(spark, source, tmp_path):
     assert not (tmp_path / "wh").exists()
 
 
+def test_described_columns_are_counted_one_by_one(spark, source):
+    """No row is multiplied by its columns, and every value is counted once per column."""
+    rows = source({}, {"order_item_id": "2", "city": "NULL"}).withColumn("number", F.lit(7)).withColumn("none", F.lit(None).cast("int"))
+    values = describe.value_table(rows)
+    assert "Generate" not in plan(values) and plan(values).count("Aggregate") == len(rows.columns) - 1  # the empty one is folded
+    found = {(r["column_name"], r["number"], r["text"]): r["n"] for r in values.collect()}
+    assert found["number", 7.0, None] == 2 and found["city", None, "Cairo"] == 1 and found["order_id", None, "5001"] == 2
+    assert len(found) == len(rows.columns) - 1 + 2  # two ids and two cities, nothing of the empty column
+
+
+def test_dry_run_stores_no_derived_rows(spark, tables, monkeypatch):
+    """The described rows are read by column from the stored typed rows."""
+    stored = []
+    monkeypatch.setattr(registry, "materialize", lambda df: stored.append(df) or materialize(df))
+    assert QUERIES["dry_run_describe"](spark, tables).count() == len(SOURCE_COLUMNS) + 13
+    assert not stored
+
+
 def test_frequent_products_are_moved_by_month_others_by_product(spark, tables):
     """The monthly fact moves lines once and, but for frequent products, its own rows only to their months."""
     items = full_load.open_star(sample_warehouse(spark, tables)).items
