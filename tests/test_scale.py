@@ -1,6 +1,7 @@
 """How often rows are computed, moved and stored, on small tables of its own."""
 
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
@@ -277,3 +278,31 @@ def test_parents_of_foreign_keys_are_not_broadcast(spark, tables):
     report = constraints.fk_integrity(star)
     assert "Broadcast" not in physical(report)
     assert {r["orphan_rows"] for r in report.collect()} == {0}
+
+
+def test_intermediate_tables_go_with_their_step(spark, tmp_path):
+    """A step's tables are removed when it ends or fails; what it keeps goes with the step around it."""
+    there = lambda df: [f for f in df.inputFiles() if os.path.exists(f.removeprefix("file://"))]
+    free = materialize(spark.range(3))
+    with session.stored_aside(spark):
+        with session.stored_aside(spark) as keep:
+            inner = materialize(spark.range(3))
+            kept = keep(inner.filter("id > 0"))
+            assert there(inner)
+        assert not there(inner) and kept.count() == 2
+        with pytest.raises(ValueError), session.stored_aside(spark):
+            failed = materialize(spark.range(2))
+            raise ValueError
+        assert not there(failed) and there(kept)
+    assert not there(kept) and there(free)
+
+
+def test_deliveries_leave_no_intermediate_tables(spark, tables, monkeypatch):
+    """A streamed load leaves its warehouse, and the rows that the query made its landing files of, which are compressed."""
+    stored = []
+    monkeypatch.setattr(session, "write_parquet", lambda df, path, *a, f=session.write_parquet: stored.append(path) or f(df, path, *a))
+    landing = []
+    monkeypatch.setattr(registry, "load_available", lambda wh, path, *a, f=registry.load_available: landing.append(path) or f(wh, path, *a))
+    assert QUERIES["stream_load"](spark, tables).count() > 0
+    assert [path for path in stored if os.path.exists(path)] == stored[:1] and len(stored) > 10
+    assert {f.split(".", 1)[1] for f in os.listdir(landing[0]) if f.startswith("part")} == {"csv.gz"}
